@@ -126,12 +126,19 @@ def dq_first_slot(ranked: DataFrame, empty: Column | None = None) -> DataFrame:
                              & (F.col("n_empty_first") == 0))
 
 
-def dq_report(checks: Mapping[str, DataFrame], run_date: str) -> DataFrame:
+def dq_report(checks: Mapping[str, DataFrame], run_date: str,
+              volumes: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per check with its result, and whether it passed, ready to be written by day.
 
     Frames without a ``passed`` column list violations: they pass when they are empty.
+    ``volumes`` (from ``dq_counts``) are reported without a verdict.
     """
     report = None
+    for name, frame in (volumes or {}).items():
+        rows = frame.select(F.concat_ws(".", F.lit(name), "check").alias("check"),
+                            F.to_json(F.struct(*frame.columns)).alias("detail"),
+                            F.lit(None).cast("boolean").alias("passed"))
+        report = rows if report is None else report.unionByName(rows)
     for name, frame in checks.items():
         if "passed" in frame.columns:
             rows = frame.select(
