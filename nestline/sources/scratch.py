@@ -13,7 +13,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     A temporary folder is used only where that is not set, as in local tests.
     """
-    shared = (spark.conf.get("spark.checkpoint.dir", None)
-              or spark.sparkContext.getConf().get("spark.checkpoint.dir"))
-    base = shared or tempfile.mkdtemp(prefix="nestline-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="nestline-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

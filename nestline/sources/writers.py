@@ -22,9 +22,18 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("targe
 
 
 def write_day(df: DataFrame, path: str, day: str, columns: Sequence[str] = (),
-              day_column: str = "target_date") -> None:
-    """Replace one day, with further partition columns below it."""
-    write_partitioned(df.withColumn(day_column, F.lit(day)), path, (day_column, *columns))
+              day_column: str = "target_date", fmt: str = "parquet") -> None:
+    """Replace one day, with further partition columns below it.
+
+    The whole folder of the day goes, so nothing is left of an earlier run even where this one
+    has no rows for a partition. Other days are not touched.
+    """
+    if columns:
+        df = df.hint("rebalance", *columns)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
+    if columns:
+        writer = writer.partitionBy(*columns)
+    writer.save(f"{path.rstrip('/')}/{day_column}={day}")
 
 
 def materialize(df: DataFrame, path: str, day: str, columns: Sequence[str] = (),
