@@ -53,15 +53,17 @@ def price_band(df: DataFrame, k: float, mean: str = "overall_mean",
     The three corrections apply one after the other: too small, too large, exactly zero. A
     clamp never exceeds the local median, which is 0 where it is unknown.
     """
-    centre = F.col(mean).try_cast("double")
-    local = F.coalesce(F.col(median), F.lit(0.0))
-    spread = F.col(std).try_cast("double")
-    spread = F.when(spread < 0.1 * centre, F.least(0.1 * centre, local)).otherwise(spread)
-    spread = F.when(spread > 0.67 * centre, F.least(0.67 * centre, local)).otherwise(spread)
-    spread = F.when(spread == 0, 0.1 * centre).otherwise(spread)
-    return (df.withColumns({mean: centre, std: spread, median: local})
-            .withColumns({"price_floor": F.col(mean) - k * F.col(std),
-                          "price_ceiling": F.col(mean) + k * F.col(std)}))
+    centre, spread, local = F.col(mean), F.col(std), F.col(median)
+    # one step per correction: a later one reads the column an earlier one has set
+    return (df.withColumns({mean: centre.try_cast("double"), std: spread.try_cast("double"),
+                            median: F.coalesce(local, F.lit(0.0))})
+            .withColumn(std, F.when(spread < 0.1 * centre, F.least(0.1 * centre, local))
+                        .otherwise(spread))
+            .withColumn(std, F.when(spread > 0.67 * centre, F.least(0.67 * centre, local))
+                        .otherwise(spread))
+            .withColumn(std, F.when(spread == 0, 0.1 * centre).otherwise(spread))
+            .withColumns({"price_floor": centre - k * spread,
+                          "price_ceiling": centre + k * spread}))
 
 
 def build_users(profiles: DataFrame, medians: DataFrame, config: CampaignConfig,

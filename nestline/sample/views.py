@@ -26,6 +26,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def rows_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table to derive many rows or columns from, with at least one part per core.
+
+    The test tables are single files with one row group, which only one task can read. Inputs
+    of as many files as cores are left as they are.
+    """
+    df, cores = table(spark, sf, name), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -52,7 +62,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
         F.when((key + i) % 37 == 0, "n/a").otherwise(_text((key * 13 + i * 17) % 1000))
         .alias("score")))
     mean = F.col("o_totalprice") / 5
-    return table(spark, sf, "orders").select(
+    return rows_of(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"),
         F.when(key % 41 == 0, F.lit(None)).when(key % 43 == 0, F.slice(entries, 1, 0))
         .otherwise(entries).alias("zip_stats"),
@@ -64,7 +74,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def listing_history(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(
+    lines = rows_of(spark, sf, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag",
         "l_linestatus", "l_shipdate")
     rows = lines.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -111,7 +121,7 @@ def biz_events(spark: SparkSession, sf: str) -> DataFrame:
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     kind = F.col("event_type")
     listing = _text(k * 2 + event % 2)
-    return table(spark, sf, "events").select(
+    return rows_of(spark, sf, "events").select(
         event.alias("event_id"),
         F.when((user % 2 == 0) | (event % 97 == 0) | (event % 89 == 0), "")
         .otherwise(_text(user)).alias("member_id"),
@@ -140,7 +150,7 @@ def recommendations(spark: SparkSession, sf: str) -> DataFrame:
         _text(i).alias("mpr_id"),
         F.when((key + i) % 53 == 0, "unknown").otherwise(_text((key * 7 + i * i * 31) % 200))
         .alias("listing_id")))
-    return table(spark, sf, "orders").select(
+    return rows_of(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"),
         F.when(key % 29 != 0, entries).alias("recommendations"),
         _pick(["NM", "DC", "TX", "CA", "NY"],
@@ -149,14 +159,23 @@ def recommendations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ranked(spark: SparkSession, sf: str) -> DataFrame:
-    """Ranked candidates with listing attributes, several positions per pair included."""
-    rows = recommendations(spark, sf).select(
-        "user_id", "state", "source_row",
-        F.posexplode("recommendations").alias("at", "entry"))
-    seq, row = F.col("at") + 1, F.col("source_row")
-    number = F.coalesce(F.col("entry.listing_id").try_cast("long"), F.lit(7))
+    """Ranked candidates with listing attributes, several positions per pair included.
+
+    The same positions as in ``recommendations``, straight as rows.
+    """
+    key = F.col("o_orderkey")
+    rows = rows_of(spark, sf, "orders").filter(key % 29 != 0).select(
+        "o_custkey", key.alias("row"),
+        _pick(["NM", "DC", "TX", "CA", "NY"],
+              F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("state"),
+        F.explode(F.sequence(F.lit(1).cast("long"), 1 + key % 12)).alias("seq"))
+    rows = rows.withColumn("known", (F.col("row") + F.col("seq")) % 53 != 0).withColumn(
+        "number", F.when(F.col("known"), (F.col("row") * 7 + F.col("seq") * F.col("seq") * 31)
+                         % 200).otherwise(7))
+    seq, row, number = F.col("seq").cast("int"), F.col("row"), F.col("number")
     return rows.select(
-        "user_id", F.col("entry.listing_id").alias("listing_id"), "state",
+        _customer("o_custkey").alias("user_id"),
+        F.when(F.col("known"), _text(number)).otherwise("unknown").alias("listing_id"), "state",
         seq.alias("seq_id"),
         (1000 - seq * 10 + (row * seq) % 14).cast("double").alias("match_score"),
         _text(F.floor(number / 2)).alias("property_id"),
@@ -190,7 +209,7 @@ def user_features(spark: SparkSession, sf: str) -> DataFrame:
         "cal_sqft": F.when(key % 13 != 0, price / 90)}
     columns = [c.alias(f"{name}_t90") for name, c in usual.items()]
     columns += [(c * 0.75).alias(f"{name}_t90_20") for name, c in usual.items()]
-    return table(spark, sf, "orders").select(
+    return rows_of(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"), _day("o_orderdate").alias("target_date"),
         key.alias("snapshot_id"), *columns,
         ((key % 170) - 85).cast("double").alias("cal_lat_t90"),
