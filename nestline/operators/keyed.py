@@ -31,8 +31,8 @@ def score_slices(df: DataFrame, keys: Sequence[str], score: str, max_rows: int,
                  slices: int = 64, accuracy: int = 10_000) -> DataFrame:
     """Score quantiles of the keys that hold more than ``max_rows`` rows.
 
-    At most (all rows / max_rows) keys qualify, which bounds what gets broadcast. The
-    quantiles only steer how work is split; they need not be exact.
+    At most (all rows / max_rows) keys qualify, which bounds what gets broadcast; see
+    ``skew.row_limit``. The quantiles only steer how work is split and need not be exact.
     """
     hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys)
     cuts = [i / slices for i in range(1, slices)]

@@ -63,6 +63,15 @@ def build_listings(history: DataFrame, run_date: str, max_age_days: int,
                   "effective_from_datetime_mst", "effective_to_datetime_mst", "year_yyyy"))
 
 
+def listings_within(listings: DataFrame, max_age_days: int) -> DataFrame:
+    """``build_listings`` for a shorter window, from the result for a longer one.
+
+    The survivor of a property started last, so it is the same one wherever it is young enough:
+    several windows cost one pass over the history.
+    """
+    return listings.filter(F.col("dom") <= max_age_days)
+
+
 def _says_yes(column: str) -> Column:
     return F.lower(F.col(column)) == "y"
 

@@ -20,7 +20,8 @@ def assemble(candidates: DataFrame, fields: Sequence[str] = PUSH_FIELDS,
     """One row per user, variation and experiment with its recommendations in rank order.
 
     ``seq_id`` decides order and, beyond ``per_message`` positions, the ``part`` a
-    recommendation is sent in: a message stays bounded and nothing is left out.
+    recommendation is sent in: a message stays bounded and nothing is left out. Positions are
+    unique per user, or per user and state, as the ranking operators make them.
     """
     rank = F.col("seq_id")
     entry = F.struct(rank.alias("at"), F.col("listing_state").alias("state"),
@@ -28,7 +29,7 @@ def assemble(candidates: DataFrame, fields: Sequence[str] = PUSH_FIELDS,
     part = F.coalesce(F.floor((rank - 1) / per_message), F.lit(0)).cast("int")
     return (candidates.filter(F.col("variation").isNotNull())
             .groupBy(*_ADDRESSEE, part.alias("part"))
-            .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+            .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
             .withColumn("recommendations", F.transform("_entries", lambda e: e["item"]))
             .drop("_entries"))
 

@@ -23,7 +23,7 @@ def top_n_from_array(df: DataFrame, array: str, category: str, score: str, n: in
         return F.struct(number.isNull().alias("unscored"), (-number).alias("down"),
                         entry[category].alias("category"))
 
-    best = F.slice(F.array_sort(F.transform(array, sortable)), 1, n)
+    best = F.slice(F.sort_array(F.transform(array, sortable)), 1, n)
     return (df.withColumn("_entry", F.explode_outer(best))
             .withColumn(category_as, F.col("_entry.category"))
             .withColumn(score_as, -F.col("_entry.down"))

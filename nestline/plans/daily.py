@@ -21,7 +21,7 @@ from nestline.sources import writers
 
 @dataclass(frozen=True)
 class Skew:
-    """Rows from which on a key is split; below it plain joins and windows are used."""
+    """Smallest keys worth splitting, in rows; below it plain joins and windows are used."""
 
     users_per_zip: int = 50_000
     listings_per_zip: int = 20_000
@@ -32,15 +32,17 @@ class Skew:
 def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
                        events: DataFrame, profiles: DataFrame,
                        url: str = "ldp_url") -> tuple[DataFrame, DataFrame]:
-    """Today's listings with their engagement, and today's user profiles."""
-    def build(days: int) -> DataFrame:
-        return lst.build_listings(history, store.day, days, config.status, config.listing_types,
-                                  config.states, url)
+    """Today's listings with their engagement, and today's user profiles.
 
-    medians = prof.group_median(build(config.median_age_days),
+    The history is read once, for the longest window; the others are cut from its result.
+    """
+    longest = max(config.median_age_days, config.listing_age_days)
+    current = store.save("current_listings", lst.build_listings(
+        history, store.day, longest, config.status, config.listing_types, config.states, url))
+    medians = prof.group_median(lst.listings_within(current, config.median_age_days),
                                 min_value=config.min_median_price)
     listings = store.save("listings", lst.attach_engagement(
-        build(config.listing_age_days), lst.engagement_counts(events)))
+        lst.listings_within(current, config.listing_age_days), lst.engagement_counts(events)))
     users = store.save("users", prof.build_users(profiles, medians, config))
     return listings, users
 
@@ -51,18 +53,21 @@ def new_listings(store: Store, config: CampaignConfig, history: DataFrame, event
                  limits: Skew = Skew(), url: str = "ldp_url") -> DataFrame:
     """Candidates by zip and price, their features, and the ranking a model gives them."""
     listings, users = listings_and_users(store, config, history, events, profiles, url)
-    hot = cand.hot_zips(users, listings, limits.users_per_zip, limits.listings_per_zip)
+    hot = cand.hot_zips(users, listings, skew.row_limit(users, limits.users_per_zip),
+                        skew.row_limit(listings, limits.listings_per_zip))
     tagged = cand.tag_interactions(cand.generate_candidates(users, listings, hot),
                                    cand.interaction_flags(events))
     candidates = store.save("candidates", tagged)
 
     latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"])
-    busy = skew.hot_keys(candidates, ["listing_id"], limits.rows_per_listing)
+    busy = skew.hot_keys(candidates, ["listing_id"],
+                         skew.row_limit(candidates, limits.rows_per_listing))
     features = store.save("features", scoring.build_features(
         candidates, latest, listing_features, lookups, busy), ["user_group"])
 
     scored = features.withColumn("match_score", score(features).cast("double"))
-    slices = keyed.score_slices(scored, ["user_id"], "match_score", limits.rows_per_user)
+    slices = keyed.score_slices(scored, ["user_id"], "match_score",
+                                skew.row_limit(features, limits.rows_per_user))
     ranked = scoring.rank_candidates(scored, F.col("match_score"), slices)
     return store.save("candidates_ranked", ranked, ["user_group"])
 

@@ -59,9 +59,18 @@ def _medians(spark: SparkSession, sf: str) -> DataFrame:
     return prof.group_median(_listings(spark, sf, 180))
 
 
-def _users(spark: SparkSession, sf: str, config=v.NL) -> DataFrame:
+def _users(spark: SparkSession, sf: str, config=v.NL,
+           medians: DataFrame | None = None) -> DataFrame:
     # ties between snapshots of one day go to the smaller snapshot id
-    return prof.build_users(v.profiles(spark, sf), _medians(spark, sf), config, ("snapshot_id",))
+    medians = _medians(spark, sf) if medians is None else medians
+    return prof.build_users(v.profiles(spark, sf), medians, config, ("snapshot_id",))
+
+
+def _written(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """A step several others start from, as the daily plans write it."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @query("""SELECT user_id, snapshot_id, target_date, round(overall_mean, 6) AS overall_mean
@@ -237,18 +246,30 @@ def _shape(candidates: DataFrame) -> DataFrame:
 
 @query(_CANDIDATES.format(days=60))
 def candidate_generation(spark, sf):
-    """Flagship: current listings x active users, by favourite zip and price band."""
-    return _shape(cand.generate_candidates(_users(spark, sf), _listings(spark, sf, 60)))
+    """Flagship: current listings x active users, by favourite zip and price band.
+
+    The history is read once, for the longer window of the medians.
+    """
+    current = _written(spark, "listings", _listings(spark, sf, 180))
+    users = _users(spark, sf, medians=prof.group_median(current))
+    return _shape(cand.generate_candidates(users, lst.listings_within(current, 60)))
 
 
 @query(_CANDIDATES.format(days=180))
 def candidate_generation_split(spark, sf):
     """The same join with every busy zip cut into price ranges and user parts."""
-    users, listings = _users(spark, sf), _listings(spark, sf, 180)
-    hot = cand.hot_zips(users, listings, max_users=100, max_listings=10)
+    listings = _written(spark, "listings", _listings(spark, sf, 180))
+    users = _written(spark, "users", _users(spark, sf, medians=prof.group_median(listings)))
+    hot = cand.hot_zips(users, listings, skew.row_limit(users, 100), skew.row_limit(listings, 10))
     return _shape(cand.generate_candidates(users, listings, hot))
 
 
+@query(_CANDIDATES.format(days=60))
+def listings_within(spark, sf):
+    """Candidates once more, with the shorter window built from the history itself."""
+    return _shape(cand.generate_candidates(_users(spark, sf), _listings(spark, sf, 60)))
+
+
 @query("""SELECT DISTINCT uid AS user_id, listing_id FROM v_events
           WHERE page_type LIKE '%ldp%' AND on_sale""")
 def interactions(spark, sf):
@@ -300,8 +321,9 @@ _FILTERED = f"""
 
 def _filtered(spark: SparkSession, sf: str, banded: bool) -> DataFrame:
     flat = cand.explode_ranked(v.recommendations(spark, sf))
-    kept = cand.filter_recommendations(flat, _listings(spark, sf, 180),
-                                       _users(spark, sf, v.RH), 10, banded)
+    listings = _written(spark, "listings", _listings(spark, sf, 180))
+    users = _users(spark, sf, v.RH, prof.group_median(listings))
+    kept = cand.filter_recommendations(flat, listings, users, 10, banded)
     return kept.select("user_id", "state", "listing_id", F.col("seq_id").cast("long"))
 
 
@@ -353,10 +375,10 @@ def join_features(spark, sf):
 @query(f"SELECT {_JOIN_COLUMNS} {_JOINED_SQL}")
 def join_features_split(spark, sf):
     """The same join with the busiest listings split over several tasks."""
-    pairs = _pairs(spark, sf)
+    pairs = _written(spark, "pairs", _pairs(spark, sf))
+    hot = skew.hot_keys(pairs, ["listing_id"], skew.row_limit(pairs, 100))
     joined = scoring.join_features(pairs, _latest_features(spark, sf),
-                                   v.listing_features(spark, sf),
-                                   skew.hot_keys(pairs, ["listing_id"], 100))
+                                   v.listing_features(spark, sf), hot)
     return rounded(joined.select("user_id", "listing_id", "price", "cal_price_t90",
                                  "consumer_ip_city", "ldp_zip"))
 
@@ -443,7 +465,8 @@ def rank_candidates(spark, sf):
 def rank_candidates_split(spark, sf):
     """The same ranking with busy users cut into score ranges."""
     scored = _scored(spark, sf)
-    hot = keyed.score_slices(scored, ["user_id"], "match_score", max_rows=60, slices=8)
+    scored = _written(spark, "scored", scored)
+    hot = keyed.score_slices(scored, ["user_id"], "match_score", skew.row_limit(scored, 60), 8)
     ranked = scoring.rank_candidates(scored, F.col("match_score"), hot)
     return ranked.withColumn("seq_id", F.col("seq_id").cast("long"))
 
@@ -697,8 +720,7 @@ def email_candidates(spark, sf):
 # ------------------------------------------------------------------ messages
 
 def _bucketed_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = elig.scrub_pairs(v.ranked(spark, sf))
-    return pairs.join(exp.bucket_all(pairs, "AB", ALLOCATION), "user_id")
+    return exp.assign_variation(elig.scrub_pairs(v.ranked(spark, sf)), "AB", ALLOCATION)
 
 
 _ASSEMBLED = f"""

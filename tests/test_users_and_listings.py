@@ -124,6 +124,15 @@ def test_state_filter_comes_after_the_latest_listing(spark):
                 {"property_id": "p", "start": "2020-06-02 00:00:00", "listing_state": "zz"}) == []
 
 
+def test_shorter_window_from_a_longer_one(spark):
+    changes = [{"property_id": f"p{i % 4}", "start": f"2020-05-{20 + i} 0{i % 10}:00:00",
+                "valid_from": f"2020-05-{20 + i} 10:00:00"} for i in range(12)]
+    longer = lst.build_listings(history(spark, *changes), "20200603", 30, url="page_url")
+    for days in (2, 4, 5, 8, 30):
+        cut = [r[0] for r in rows(lst.listings_within(longer, days), "listing_id")]
+        assert cut == kept(spark, *changes, days=days)
+
+
 def test_listing_cleanup(spark):
     photos = ["http://x/ajpg/b.jpg", "photo not available", "http://x/c.png", "http://x/cjpg"]
     df = lst.build_listings(history(spark, *[{"listing_photo_url": p} for p in photos]),
