@@ -22,10 +22,15 @@ def ymd() -> Column:
     return F.concat("year", "month", "day")
 
 
+def usable_pairs(candidates: DataFrame) -> DataFrame:
+    """Candidates with usable ids; repeated pairs stay."""
+    return candidates.filter(
+        is_real_id("user_id", _PAIR_BLOCKLIST) & is_real_id("listing_id", ("unknown",)))
+
+
 def scrub_pairs(candidates: DataFrame) -> DataFrame:
     """Candidates with usable ids, one row per (user, listing): the best placed one."""
-    usable = candidates.filter(
-        is_real_id("user_id", _PAIR_BLOCKLIST) & is_real_id("listing_id", ("unknown",)))
+    usable = usable_pairs(candidates)
     order = [F.col("seq_id").asc_nulls_last()]
     order += [F.col(c).asc() for c in ("state", "listing_state") if c in candidates.columns]
     return first_per_key(usable, ["user_id", "listing_id"], order)

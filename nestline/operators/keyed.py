@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from nestline.functions.cuts import cuts_below, quantiles
+
 _RANK = "_row_in_key"
 
 
@@ -35,19 +37,19 @@ def score_slices(df: DataFrame, keys: Sequence[str], score: str, max_rows: int,
     ``skew.row_limit``. The quantiles only steer how work is split and need not be exact.
     """
     hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys)
-    cuts = [i / slices for i in range(1, slices)]
     return (df.join(F.broadcast(hot), list(keys), "left_semi")
             .groupBy(*keys)
-            .agg(F.percentile_approx(F.col(score).cast("double"), cuts, accuracy)
+            .agg(F.percentile_approx(F.col(score).cast("double"), quantiles(slices), accuracy)
                  .alias("_cuts")))
 
 
 def rank_within_key(df: DataFrame, keys: Sequence[str], score: str, ties: Sequence[str],
-                    rank_as: str = "seq_id", hot: DataFrame | None = None) -> DataFrame:
+                    rank_as: str = "seq_id", hot: DataFrame | None = None,
+                    slices: int = 64) -> DataFrame:
     """Dense 1..n position of every row by score descending, nulls last.
 
     All rows are kept, so a huge key cannot be limited before the shuffle. With ``hot`` (from
-    ``score_slices``) such a key is cut into score ranges that are ranked in separate tasks;
+    ``score_slices``, with as many slices) such a key is cut into score ranges that are ranked in separate tasks;
     the sizes of the higher ranges are added afterwards. Equal scores share a range, so the
     result is the same with and without ``hot``.
     """
@@ -57,11 +59,11 @@ def rank_within_key(df: DataFrame, keys: Sequence[str], score: str, ties: Sequen
             Window.partitionBy(*keys).orderBy(*order)))
 
     keys = list(keys)
-    value = F.col(score).cast("double")
-    above = F.size(F.filter("_cuts", lambda cut: cut > value))
+    above = slices - 1 - cuts_below(F.col("_cuts"), F.col(score).cast("double"), slices,
+                                    or_equal=True)
     sliced = (df.join(F.broadcast(hot), keys, "left")
               .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0)
-                          .when(F.col(score).isNull(), F.size("_cuts") + 1)
+                          .when(F.col(score).isNull(), slices)
                           .otherwise(above)))
     sizes = (sliced.filter(F.col("_cuts").isNotNull())
              .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows")))

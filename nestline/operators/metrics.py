@@ -29,8 +29,8 @@ def user_scores(predictions: DataFrame, truth: DataFrame, ks: Sequence[int] = (1
     """Precision, recall and nDCG of every user present on both sides, one row per user and k.
 
     Hits come from a join on (user, listing) and all cut-offs from one grouping, so no list of
-    a user's items is ever built. Predictions up to the largest cut-off are short by contract;
-    the truth of a user may be any size.
+    a user's items is ever built. A repeated prediction counts at its best rank. Predictions up
+    to the largest cut-off are short by contract; the truth of a user may be any size.
     """
     listed = (predictions.filter(F.col("rank") <= max(ks))
               .groupBy("user_id", "listing_id").agg(F.min("rank").alias("rank")))

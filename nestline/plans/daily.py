@@ -47,27 +47,34 @@ def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
     return listings, users
 
 
+def _saved_hot(store: Store, name: str, hot: DataFrame) -> DataFrame | None:
+    """A short list of hot keys, written because it is used twice; None when there are none."""
+    saved = store.save(name, hot)
+    return None if saved.isEmpty() else saved
+
+
 def new_listings(store: Store, config: CampaignConfig, history: DataFrame, events: DataFrame,
                  profiles: DataFrame, user_features: DataFrame, listing_features: DataFrame,
                  lookups: Sequence[scoring.Lookup], score: Callable[[DataFrame], Column],
                  limits: Skew = Skew(), url: str = "ldp_url") -> DataFrame:
     """Candidates by zip and price, their features, and the ranking a model gives them."""
     listings, users = listings_and_users(store, config, history, events, profiles, url)
-    hot = cand.hot_zips(users, listings, skew.row_limit(users, limits.users_per_zip),
-                        skew.row_limit(listings, limits.listings_per_zip))
+    hot = _saved_hot(store, "hot_zips", cand.hot_zips(
+        users, listings, skew.row_limit(users, limits.users_per_zip),
+        skew.row_limit(listings, limits.listings_per_zip)))
     tagged = cand.tag_interactions(cand.generate_candidates(users, listings, hot),
                                    cand.interaction_flags(events))
     candidates = store.save("candidates", tagged)
 
     latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"])
-    busy = skew.hot_keys(candidates, ["listing_id"],
-                         skew.row_limit(candidates, limits.rows_per_listing))
+    busy = _saved_hot(store, "hot_listings", skew.hot_keys(
+        candidates, ["listing_id"], skew.row_limit(candidates, limits.rows_per_listing)))
     features = store.save("features", scoring.build_features(
         candidates, latest, listing_features, lookups, busy), ["user_group"])
 
     scored = features.withColumn("match_score", score(features).cast("double"))
-    slices = keyed.score_slices(scored, ["user_id"], "match_score",
-                                skew.row_limit(features, limits.rows_per_user))
+    slices = _saved_hot(store, "hot_users", keyed.score_slices(
+        scored, ["user_id"], "match_score", skew.row_limit(features, limits.rows_per_user)))
     ranked = scoring.rank_candidates(scored, F.col("match_score"), slices)
     return store.save("candidates_ranked", ranked, ["user_group"])
 
@@ -149,7 +156,7 @@ def deliver_control(store: Store, bucketed: DataFrame, event_type: str, client_i
 def offline_metrics(store: Store, config: CampaignConfig, ranked: DataFrame,
                     events: DataFrame) -> DataFrame:
     """Compare the ranking of the store's day with what users did in the days after."""
-    predictions = (elig.scrub_pairs(ranked)
+    predictions = (elig.usable_pairs(ranked)
                    .select("user_id", "listing_id", F.col("seq_id").alias("rank")))
     truth = metrics.ground_truth(events, store.day, config.ground_truth_days)
     return store.save("metrics", metrics.offline_metrics(predictions, truth,

@@ -260,7 +260,8 @@ def candidate_generation_split(spark, sf):
     """The same join with every busy zip cut into price ranges and user parts."""
     listings = _written(spark, "listings", _listings(spark, sf, 180))
     users = _written(spark, "users", _users(spark, sf, medians=prof.group_median(listings)))
-    hot = cand.hot_zips(users, listings, skew.row_limit(users, 100), skew.row_limit(listings, 10))
+    hot = _written(spark, "hot", cand.hot_zips(users, listings, skew.row_limit(users, 100),
+                                               skew.row_limit(listings, 10)))
     return _shape(cand.generate_candidates(users, listings, hot))
 
 
@@ -376,7 +377,7 @@ def join_features(spark, sf):
 def join_features_split(spark, sf):
     """The same join with the busiest listings split over several tasks."""
     pairs = _written(spark, "pairs", _pairs(spark, sf))
-    hot = skew.hot_keys(pairs, ["listing_id"], skew.row_limit(pairs, 100))
+    hot = _written(spark, "hot", skew.hot_keys(pairs, ["listing_id"], skew.row_limit(pairs, 100)))
     joined = scoring.join_features(pairs, _latest_features(spark, sf),
                                    v.listing_features(spark, sf), hot)
     return rounded(joined.select("user_id", "listing_id", "price", "cal_price_t90",
@@ -466,8 +467,9 @@ def rank_candidates_split(spark, sf):
     """The same ranking with busy users cut into score ranges."""
     scored = _scored(spark, sf)
     scored = _written(spark, "scored", scored)
-    hot = keyed.score_slices(scored, ["user_id"], "match_score", skew.row_limit(scored, 60), 8)
-    ranked = scoring.rank_candidates(scored, F.col("match_score"), hot)
+    hot = _written(spark, "hot", keyed.score_slices(
+        scored, ["user_id"], "match_score", skew.row_limit(scored, 60), 8))
+    ranked = scoring.rank_candidates(scored, F.col("match_score"), hot, slices=8)
     return ranked.withColumn("seq_id", F.col("seq_id").cast("long"))
 
 
@@ -641,7 +643,7 @@ def bucket_exclusive(spark, sf):
     FROM (SELECT DISTINCT user_id FROM v_clean_ranked)
     WHERE user_id NOT IN (SELECT user_id FROM v_own_hist)""")
 def bucket_sticky(spark, sf):
-    return exp.bucket_sticky(elig.scrub_pairs(v.ranked(spark, sf)),
+    return exp.bucket_sticky(elig.usable_pairs(v.ranked(spark, sf)),
                              v.assignments(spark, sf, 0), v.assignments(spark, sf, 4), MAIN,
                              OTHER, ALLOCATION)
 
@@ -649,7 +651,7 @@ def bucket_sticky(spark, sf):
 @query(f"""SELECT user_id, 'AB' AS experiment_name, {_variation_sql("'AB'")} AS variation
            FROM (SELECT DISTINCT user_id FROM v_clean_ranked)""")
 def bucket_all(spark, sf):
-    return exp.bucket_all(elig.scrub_pairs(v.ranked(spark, sf)), "AB", ALLOCATION)
+    return exp.bucket_all(elig.usable_pairs(v.ranked(spark, sf)), "AB", ALLOCATION)
 
 
 _BUCKET_APP = f"""(SELECT user_id, listing_state, 'APP' AS experiment_name,
@@ -834,7 +836,7 @@ def _truth(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return (elig.scrub_pairs(v.ranked(spark, sf))
+    return (elig.usable_pairs(v.ranked(spark, sf))
             .select("user_id", "listing_id", F.col("seq_id").alias("rank")))
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from nestline.functions import cuts
 from nestline.operators import keyed, skew, snapshot
 from tests.helpers import plan, rows
 
@@ -44,7 +45,7 @@ def test_sliced_ranking_equals_plain_ranking(spark, seed):
     hot = keyed.score_slices(df, ["k"], "s", max_rows=500, slices=8)
     assert rows(hot, "k") == [("hot",)]
     plain = keyed.rank_within_key(df, ["k"], "s", ["id"])
-    sliced = keyed.rank_within_key(df, ["k"], "s", ["id"], hot=hot)
+    sliced = keyed.rank_within_key(df, ["k"], "s", ["id"], hot=hot, slices=8)
     assert rows(plain, "k", "id", "s", "seq_id") == rows(sliced, "k", "id", "s", "seq_id")
 
 
@@ -98,6 +99,24 @@ def test_split_band_join_equals_brute_force(spark, seed):
     hot = skew.hot_bands(q, p, "zip", "price", max_queries=50, max_points=40, slices=8)
     assert rows(hot, "zip") == [("hot",)]
     for bands in (None, hot):
-        joined = skew.band_join(q, p, "zip", "price", "low", "high", bands, ["q"])
+        joined = skew.band_join(q, p, "zip", "price", "low", "high", bands, ["q"], slices=8)
         assert rows(joined, "q", "p") == want
         assert set(joined.columns) == {"q", "zip", "low", "high", "p", "price"}
+
+
+def test_cuts_below_by_halving(spark):
+    edges = [1.0, 1.0, 2.0, 5.0, 5.0, 5.0, 9.0]
+    values = [0.0, 1.0, 1.5, 2.0, 5.0, 6.0, 9.0, 10.0]
+    df = spark.createDataFrame([(v, edges) for v in values], "v double, e array<double>")
+    got = {r["v"]: (r["below"], r["upto"]) for r in df.select(
+        "v", cuts.cuts_below(F.col("e"), F.col("v"), 8).alias("below"),
+        cuts.cuts_below(F.col("e"), F.col("v"), 8, or_equal=True).alias("upto")).collect()}
+    for v in values:
+        assert got[v] == (sum(e < v for e in edges), sum(e <= v for e in edges))
+    with pytest.raises(ValueError):
+        cuts.quantiles(6)
+
+
+def test_row_limit_bounds_the_number_of_hot_keys(spark):
+    df = spark.range(3 * skew.MAX_HOT_KEYS)
+    assert skew.row_limit(df, 2) == 3 and skew.row_limit(df, 100) == 100
