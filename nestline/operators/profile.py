@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from nestline.config import CampaignConfig
 from nestline.functions.hashing import user_group
@@ -11,23 +11,34 @@ from nestline.operators.keyed import top_per_key
 from nestline.operators.snapshot import latest_per_key
 
 
-def top_n_from_array(df: DataFrame, array: str, category: str, score: str, n: int,
-                     category_as: str = "zip_code", score_as: str = "score") -> DataFrame:
-    """The ``n`` best entries of an array of structs, one row each; rows without any stay.
+def best_entries(array: str, category: str, score: str, n: int) -> Column:
+    """The ``n`` best entries of an array of structs, ordered and cut inside the row.
 
-    The array is ordered and cut inside its row, so nothing is shuffled. Scores arrive as text
-    and are compared as numbers; entries without one come last, ties go to the smaller category.
+    Scores arrive as text and are compared as numbers; entries without one come last, ties go
+    to the smaller category.
     """
-    def sortable(entry):
+    def sortable(entry: Column) -> Column:
         number = entry[score].try_cast("double")
         return F.struct(number.isNull().alias("unscored"), (-number).alias("down"),
                         entry[category].alias("category"))
 
-    best = F.slice(F.sort_array(F.transform(array, sortable)), 1, n)
+    return F.slice(F.sort_array(F.transform(array, sortable)), 1, n)
+
+
+def entry_rows(df: DataFrame, best: str, category_as: str = "zip_code",
+               score_as: str = "score") -> DataFrame:
+    """``best_entries`` as rows; a row without any entry stays, with nulls."""
     return (df.withColumn("_entry", F.explode_outer(best))
             .withColumn(category_as, F.col("_entry.category"))
             .withColumn(score_as, -F.col("_entry.down"))
-            .drop("_entry", array))
+            .drop("_entry", best))
+
+
+def top_n_from_array(df: DataFrame, array: str, category: str, score: str, n: int,
+                     category_as: str = "zip_code", score_as: str = "score") -> DataFrame:
+    """One row per best entry of every array. Nothing is shuffled."""
+    cut = df.withColumn(array, best_entries(array, category, score, n))
+    return entry_rows(cut, array, category_as, score_as)
 
 
 def top_n_categories(df: DataFrame, keys: list[str], score: str, category: str,
@@ -68,15 +79,19 @@ def price_band(df: DataFrame, k: float, mean: str = "overall_mean",
 
 def build_users(profiles: DataFrame, medians: DataFrame, config: CampaignConfig,
                 ties: tuple[str, ...] = ()) -> DataFrame:
-    """One row per active user and favourite zip, with price band and user group."""
-    real = profiles.filter(is_real_id("user_id", config.placeholder_ids))
-    latest = latest_per_key(real, ["user_id"], ["target_date"], ties)
-    users = latest.select(
-        "user_id", "zip_stats",
+    """One row per active user and favourite zip, with price band and user group.
+
+    Profiles are cut to their best zips and two numbers before the latest one is looked for:
+    what is shuffled is a few values per profile, not its whole statistics.
+    """
+    slim = profiles.filter(is_real_id("user_id", config.placeholder_ids)).select(
+        "user_id", "target_date", *ties,
+        best_entries("zip_stats", "category_name", "score", config.top_zips).alias("_best"),
         F.col("price_stats.overall_mean").alias("overall_mean"),
-        F.col("price_stats.overall_std_dev").alias("overall_std_dev"),
-        user_group("user_id", config.user_groups).alias("user_group"))
-    zips = top_n_from_array(users, "zip_stats", "category_name", "score", config.top_zips)
+        F.col("price_stats.overall_std_dev").alias("overall_std_dev"))
+    latest = latest_per_key(slim, ["user_id"], ["target_date"], ties)
+    zips = entry_rows(latest, "_best").withColumn(
+        "user_group", user_group("user_id", config.user_groups))
     return (price_band(zips.join(medians, "zip_code", "left"), config.std_factor)
             .select("user_id", "user_group", "zip_code", "score", "overall_mean",
                     "overall_std_dev", "listing_price_median", "price_floor", "price_ceiling"))

@@ -57,26 +57,32 @@ def new_listings(store: Store, config: CampaignConfig, history: DataFrame, event
                  profiles: DataFrame, user_features: DataFrame, listing_features: DataFrame,
                  lookups: Sequence[scoring.Lookup], score: Callable[[DataFrame], Column],
                  limits: Skew = Skew(), url: str = "ldp_url") -> DataFrame:
-    """Candidates by zip and price, their features, and the ranking a model gives them."""
+    """Candidates by zip and price, their features, and the ranking a model gives them.
+
+    Pairs stay narrow through tagging, features and ranking. The tables others read, candidates
+    and candidates_ranked, get the listing attributes when they are written.
+    """
     listings, users = listings_and_users(store, config, history, events, profiles, url)
     hot = _saved_hot(store, "hot_zips", cand.hot_zips(
         users, listings, skew.row_limit(users, limits.users_per_zip),
         skew.row_limit(listings, limits.listings_per_zip)))
-    tagged = cand.tag_interactions(cand.generate_candidates(users, listings, hot),
-                                   cand.interaction_flags(events))
-    candidates = store.save("candidates", tagged)
+    made = cand.generate_candidates(users, cand.slim_listings(listings), hot)
+    pairs = store.save("candidate_pairs", cand.tag_interactions(
+        made, cand.interaction_flags(events)))
+    store.save("candidates", cand.attach_listings(pairs, listings))
 
     latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"])
     busy = _saved_hot(store, "hot_listings", skew.hot_keys(
-        candidates, ["listing_id"], skew.row_limit(candidates, limits.rows_per_listing)))
+        pairs, ["listing_id"], skew.row_limit(pairs, limits.rows_per_listing)))
     features = store.save("features", scoring.build_features(
-        candidates, latest, listing_features, lookups, busy), ["user_group"])
+        pairs, latest, listing_features, lookups, busy), ["user_group"])
 
     scored = features.withColumn("match_score", score(features).cast("double"))
     slices = _saved_hot(store, "hot_users", keyed.score_slices(
         scored, ["user_id"], "match_score", skew.row_limit(features, limits.rows_per_user)))
     ranked = scoring.rank_candidates(scored, F.col("match_score"), slices)
-    return store.save("candidates_ranked", ranked, ["user_group"])
+    return store.save("candidates_ranked", cand.attach_listings(ranked, listings),
+                      ["user_group"])
 
 
 def recommended_homes(store: Store, config: CampaignConfig, history: DataFrame,
@@ -165,7 +171,8 @@ def offline_metrics(store: Store, config: CampaignConfig, ranked: DataFrame,
 
 def validate(store: Store, listings: DataFrame, users: DataFrame, candidates: DataFrame,
              ranked: DataFrame, max_age_days: int, previous_day: str | None = None,
-             upstream: DataFrame | None = None, score: str | None = "match_score") -> DataFrame:
+             upstream: DataFrame | None = None, score: str | None = "match_score",
+             source: DataFrame | None = None) -> DataFrame:
     """All checks of a campaign day as one report; every failure is in it, none stops it."""
     run = F.to_date(F.lit(store.day), "yyyyMMdd")
     slot = ["user_id", "listing_id"] if upstream is None else ["user_id", "listing_id", "state"]
@@ -202,6 +209,13 @@ def validate(store: Store, listings: DataFrame, users: DataFrame, candidates: Da
     if upstream is not None:
         breaks = dq.dq_sequence(ranked, upstream)
         checks["upstream_order"] = breaks.filter(F.col("n_breaks") > 0)
+    if upstream is not None and source is not None:
+        listed = upstream.withColumn("seq_id", F.col("row_id") + 1)
+        breaks = dq.dq_sequence(listed, cand.explode_ranked(source))
+        checks["source_order"] = breaks.filter(F.col("n_breaks") > 0)
+        checks["upstream"] = dq.dq_rate(upstream, "user_id", {
+            "fields": dq.is_empty("user_id", "listing_id", "state") | F.col("row_id").isNull()},
+            {"fields": 100.0})
     if previous_day is not None:
         for name, key in (("users", "user_id"), ("candidates", "user_id"),
                           ("listings", "listing_id"), ("candidates_ranked", "listing_id")):

@@ -66,14 +66,17 @@ def test_filter_recommendations(spark):
     recs = spark.createDataFrame(
         [("u", f"l{i:02}", "NM", i) for i in range(14)] + [("u", "l03", "TX", 5), ("w", "l00", "NM", 0)],
         "user_id string, listing_id string, state string, row_id int")
-    listings = spark.createDataFrame([(f"l{i:02}", "z1" if i != 2 else "z2", float(i)) for i in range(14)],
-                                     "listing_id string, listing_postal_code string, "
-                                     "listing_current_price double")
+    listings = spark.createDataFrame(
+        [(f"l{i:02}", None if i == 4 else f"p{i}", "z1" if i != 2 else "z2", float(i), f"{i} Main St")
+         for i in range(14)], "listing_id string, property_id string, listing_postal_code string, "
+                              "listing_current_price double, listing_address string")
     users = spark.createDataFrame([("u", 3, "z1", 4.0, 9.0)], "user_id string, user_group int, "
                                   "zip_code string, price_floor double, price_ceiling double")
     got = cand.filter_recommendations(recs, listings, users)
     want = [("NM", f"l{i:02}", s + 1) for s, i in enumerate([0, 1, 3, 4, 5, 6, 7, 8, 9, 10])]
     assert rows(got, "state", "listing_id", "seq_id") == want + [("TX", "l03", 1)]
+    assert rows(got.filter("listing_id = 'l04'"), "listing_address", "user_group") == [("4 Main St", 3)]
+    assert len(got.columns) == len(set(got.columns)) and "price_floor" not in got.columns
     banded = cand.filter_recommendations(recs, listings, users, 3, apply_price_band=True)
     assert rows(banded, "state", "listing_id", "seq_id") == [("NM", f"l0{4 + i}", i + 1)
                                                              for i in range(3)]

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nestline.functions import features, gain, hashing, identity
+from nestline.functions import features, gain, hashing, identity, registry
 from tests.helpers import rows
 
 
@@ -95,3 +95,16 @@ def test_gain_by_hand(spark, method):
 def test_unknown_gain_method_is_refused(spark):
     with pytest.raises(ValueError):
         gain.position_gain(F.lit(1.0), F.lit(1), 3)
+
+
+def test_functions_in_sql_equal_the_columns(spark):
+    registry.register_functions(spark)
+    df = spark.createDataFrame([(1, 2.0, 4.0, 10.0, 170.0), (2, None, 4.0, 0.0, 0.0), (3, 1.0, 0.0, -90.0, 5.0)],
+                               "k int, u double, f double, a double, b double")
+    df.createOrReplaceTempView("sql_functions_demo")
+    got = spark.sql("""SELECT k, deviation_ratio(u, f), deviation_diff(u, f), haversine_miles(u, f, a, b)
+                       FROM sql_functions_demo""")
+    want = df.select("k", features.deviation_ratio(F.col("u"), F.col("f")),
+                     features.deviation_diff(F.col("u"), F.col("f")),
+                     features.haversine_miles(*[F.col(c) for c in "ufab"]))
+    assert rows(got) == rows(want)

@@ -50,6 +50,10 @@ def test_new_listings_day(day):
     candidates = nl.all_days(spark, "candidates")
     features = nl.all_days(spark, "features")
     assert candidates.count() > 100
+    assert candidates.count() == nl.all_days(spark, "candidate_pairs").count()
+    assert {"listing_address", "viewed", "dom"} <= set(candidates.columns)
+    assert {"listing_address", "match_score", "seq_id"} <= set(ranked.columns)
+    assert len(ranked.columns) == len(set(ranked.columns))
     assert candidates.groupBy("user_id", "listing_id").count().filter("count > 1").count() == 0
     # pairs without a feature row on either side drop out, nothing else
     assert ranked.count() == features.count() <= candidates.count()
@@ -107,9 +111,10 @@ def test_metrics_and_validation(day, tmp_path):
     assert verdict["drift_users"] is False and verdict["listings_listing_id.for_sale"] is None
     homes_tables = {n: rh.all_days(spark, n) for n in ("listings", "users")}
     checks = daily.validate(rh, **homes_tables, candidates=homes, ranked=homes, max_age_days=180,
-                            upstream=rh.all_days(spark, "recommendations"), score=None)
+                            upstream=rh.all_days(spark, "recommendations"), score=None,
+                            source=v.recommendations(spark, sf))
     verdict = {r["check"]: r["passed"] for r in checks.collect()}
-    assert verdict["upstream_order"] and "rank_order" not in verdict
+    assert verdict["upstream_order"] and verdict["source_order"] and "rank_order" not in verdict
 
 
 # ------------------------------------------------------------------ physical plans
