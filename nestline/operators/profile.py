@@ -89,7 +89,9 @@ def build_users(profiles: DataFrame, medians: DataFrame, config: CampaignConfig,
         best_entries("zip_stats", "category_name", "score", config.top_zips).alias("_best"),
         F.col("price_stats.overall_mean").alias("overall_mean"),
         F.col("price_stats.overall_std_dev").alias("overall_std_dev"))
-    latest = latest_per_key(slim, ["user_id"], ["target_date"], ties)
+    # the values themselves decide last, so that a second run picks the same profile
+    latest = latest_per_key(slim, ["user_id"], ["target_date"],
+                            (*ties, "overall_mean", "overall_std_dev", "_best"))
     zips = entry_rows(latest, "_best").withColumn(
         "user_group", user_group("user_id", config.user_groups))
     return (price_band(zips.join(medians, "zip_code", "left"), config.std_factor)

@@ -30,8 +30,8 @@ class Skew:
 
 
 def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
-                       events: DataFrame, profiles: DataFrame,
-                       url: str = "ldp_url") -> tuple[DataFrame, DataFrame]:
+                       events: DataFrame, profiles: DataFrame, url: str = "ldp_url",
+                       ties: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Today's listings with their engagement, and today's user profiles.
 
     The history is read once, for the longest window; the others are cut from its result.
@@ -43,7 +43,7 @@ def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
                                 min_value=config.min_median_price)
     listings = store.save("listings", lst.attach_engagement(
         lst.listings_within(current, config.listing_age_days), lst.engagement_counts(events)))
-    users = store.save("users", prof.build_users(profiles, medians, config))
+    users = store.save("users", prof.build_users(profiles, medians, config, ties))
     return listings, users
 
 
@@ -56,13 +56,15 @@ def _saved_hot(store: Store, name: str, hot: DataFrame) -> DataFrame | None:
 def new_listings(store: Store, config: CampaignConfig, history: DataFrame, events: DataFrame,
                  profiles: DataFrame, user_features: DataFrame, listing_features: DataFrame,
                  lookups: Sequence[scoring.Lookup], score: Callable[[DataFrame], Column],
-                 limits: Skew = Skew(), url: str = "ldp_url") -> DataFrame:
+                 limits: Skew = Skew(), url: str = "ldp_url",
+                 ties: tuple[str, ...] = ()) -> DataFrame:
     """Candidates by zip and price, their features, and the ranking a model gives them.
 
     Pairs stay narrow through tagging, features and ranking. The tables others read, candidates
-    and candidates_ranked, get the listing attributes when they are written.
+    and candidates_ranked, get the listing attributes when they are written. ``ties`` names
+    columns that choose between several profiles or feature rows of a user on one day.
     """
-    listings, users = listings_and_users(store, config, history, events, profiles, url)
+    listings, users = listings_and_users(store, config, history, events, profiles, url, ties)
     hot = _saved_hot(store, "hot_zips", cand.hot_zips(
         users, listings, skew.row_limit(users, limits.users_per_zip),
         skew.row_limit(listings, limits.listings_per_zip)))
@@ -71,7 +73,9 @@ def new_listings(store: Store, config: CampaignConfig, history: DataFrame, event
         made, cand.interaction_flags(events)))
     store.save("candidates", cand.attach_listings(pairs, listings))
 
-    latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"])
+    rest = [c for c in user_features.columns if c not in ("user_id", "target_date", *ties)]
+    latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"],
+                                     (*ties, *rest)).drop(*ties)
     busy = _saved_hot(store, "hot_listings", skew.hot_keys(
         pairs, ["listing_id"], skew.row_limit(pairs, limits.rows_per_listing)))
     features = store.save("features", scoring.build_features(
@@ -87,9 +91,10 @@ def new_listings(store: Store, config: CampaignConfig, history: DataFrame, event
 
 def recommended_homes(store: Store, config: CampaignConfig, history: DataFrame,
                       events: DataFrame, profiles: DataFrame, recommendations: DataFrame,
-                      apply_price_band: bool = False, url: str = "ldp_url") -> DataFrame:
+                      apply_price_band: bool = False, url: str = "ldp_url",
+                      ties: tuple[str, ...] = ()) -> DataFrame:
     """Upstream recommendations narrowed to favourite zips: the best of every user and state."""
-    listings, users = listings_and_users(store, config, history, events, profiles, url)
+    listings, users = listings_and_users(store, config, history, events, profiles, url, ties)
     wanted = recommendations.filter(F.col("state").isin(*config.states))
     flat = store.save("recommendations", cand.explode_ranked(wanted), ["state"])
     kept = cand.filter_recommendations(flat, listings, users, config.max_per_state,

@@ -14,6 +14,8 @@ from nestline.functions.identity import is_real_id
 from nestline.operators import (candidates as cand, channels, eligibility as elig,
                                 experiment as exp, keyed, listings as lst, messages as msg,
                                 metrics, profile as prof, quality as dq, scoring, skew, snapshot)
+from nestline.plans import daily
+from nestline.plans.store import Store
 from nestline.sample import views as v
 from nestline.sources import readers, writers
 from nestline.sources.scratch import scratch_path
@@ -1144,3 +1146,64 @@ def register_partitions(spark, sf):
     name = "registered_" + path.rsplit("-", 1)[-1]
     writers.register(spark, name, path, ["event_date"])
     return spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT member_id, email_address FROM (
+            SELECT *, row_number() OVER (PARTITION BY member_id
+                        ORDER BY updated_at DESC, account_row) AS rn
+            FROM v_accounts WHERE email_address NOT LIKE '%staff.example%') WHERE rn = 1""")
+def member_map_table(spark, sf):
+    """The address map as an external table, created anew and read by name."""
+    path = scratch_path(spark, "members")
+    name = "members_" + path.rsplit("-", 1)[-1]
+    mapped = lst.member_email_map(v.accounts(spark, sf), "staff.example", ("account_row",))
+    writers.create_table_as(mapped, name, path)
+    return spark.table(name)
+
+
+# ------------------------------------------------------------------ whole days
+
+_TAGGED = """
+    LEFT JOIN (SELECT DISTINCT uid, listing_id FROM v_events
+               WHERE page_type LIKE '%ldp%' AND on_sale) i
+      ON i.uid = c.user_id AND i.listing_id = c.listing_id
+    LEFT JOIN (SELECT DISTINCT uid, listing_id FROM v_events
+               WHERE lower(saved_items) = 'y' AND on_sale) s
+      ON s.uid = c.user_id AND s.listing_id = c.listing_id"""
+_TAGS = """CASE WHEN i.uid IS NOT NULL THEN 'y' ELSE 'n' END AS viewed,
+           CASE WHEN s.uid IS NOT NULL THEN 'y' ELSE 'n' END AS saved_home"""
+
+
+def _day(spark: SparkSession, sf: str) -> dict:
+    return {"history": v.listing_history(spark, sf), "events": v.biz_events(spark, sf),
+            "profiles": v.profiles(spark, sf), "url": "property_url", "ties": ("snapshot_id",)}
+
+
+@query(f"""SELECT c.user_id, c.listing_id, c.listing_state, round(f.price, 6) AS match_score,
+                  row_number() OVER (PARTITION BY c.user_id
+                                     ORDER BY f.price DESC, c.listing_id) AS seq_id, {_TAGS}
+           FROM ({_CANDIDATES.format(days=60)}) c
+           JOIN v_listing_features f USING (listing_id)
+           JOIN {_LATEST_FEATURES} u USING (user_id) {_TAGGED}""")
+def new_listings_day(spark, sf):
+    """A complete day of the first campaign through its written tables, scored by price."""
+    ranked = daily.new_listings(
+        Store(scratch_path(spark, "day"), v.RUN_DATE), v.NL,
+        user_features=v.user_features(spark, sf),
+        listing_features=v.listing_features(spark, sf), lookups=_lookups(spark, sf),
+        score=lambda features: F.col("price"),
+        limits=daily.Skew(users_per_zip=100, listings_per_zip=10, rows_per_listing=50,
+                          rows_per_user=60), **_day(spark, sf))
+    return rounded(ranked.select("user_id", "listing_id", "listing_state", "match_score",
+                                 F.col("seq_id").cast("long"), "viewed", "saved_home"))
+
+
+@query(f"""SELECT c.user_id, c.state, c.listing_id, c.seq_id, {_TAGS}
+           FROM ({_FILTERED.format(band="TRUE")}) c {_TAGGED}""")
+def recommended_homes_day(spark, sf):
+    """A complete day of the second campaign through its written tables."""
+    ranked = daily.recommended_homes(
+        Store(scratch_path(spark, "day"), v.RUN_DATE), v.RH,
+        recommendations=v.recommendations(spark, sf).drop("source_row"), **_day(spark, sf))
+    return ranked.select("user_id", "state", "listing_id", F.col("seq_id").cast("long"),
+                         "viewed", "saved_home")

@@ -121,7 +121,8 @@ def test_metrics_and_validation(day, tmp_path):
 
 @pytest.mark.parametrize("name", sorted(set(q.QUERIES) - {
     "lookback_scan", "lookback_scan_ymd", "union_years", "write_partitioned",
-    "register_partitions", "message_sink"}))
+    "register_partitions", "message_sink", "new_listings_day", "recommended_homes_day",
+    "member_map_table"}))
 def test_no_python_no_cartesian_no_global_window(spark, sf, name):
     text = plan(q.QUERIES[name](spark, sf))
     for bad in ("Python", "CartesianProduct", "ObjectHashAggregate(keys=[]"):
