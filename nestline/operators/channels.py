@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from nestline.operators.eligibility import scrub_pairs
+from nestline.operators.eligibility import scrub_pairs, usable_pairs
 
 
 def attach_variation(candidates: DataFrame, bucketed: DataFrame, group: str,
@@ -23,8 +23,10 @@ def attach_variation(candidates: DataFrame, bucketed: DataFrame, group: str,
 
 
 def app_candidates(candidates: DataFrame, bucketed: DataFrame, variation: str) -> DataFrame:
+    """Candidates of one variation in the state a user was bucketed in."""
     users = bucketed.filter(F.col("variation") == variation)
-    return scrub_pairs(candidates).join(users, ["user_id", "listing_state"])
+    mine = candidates.join(users, "user_id", "left_semi")
+    return scrub_pairs(mine).join(users, ["user_id", "listing_state"])
 
 
 def email_candidates(candidates: DataFrame, email_users: DataFrame, variation: str,
@@ -34,12 +36,13 @@ def email_candidates(candidates: DataFrame, email_users: DataFrame, variation: s
     The first place is an aggregate per user, joined to the user list before the candidates:
     a user with very many candidates is never sorted in one task.
     """
-    pairs = scrub_pairs(candidates)
+    mailable = email_users.withColumnRenamed("customer_id", "user_id")
+    mine = candidates.join(mailable, "user_id", "left_semi")
+    # city and state belong to the listing, so repeated pairs cannot change the first place
     first = F.min_by(F.struct("listing_city", "listing_state"),
                      F.struct("seq_id", "listing_state", "listing_id"))
-    places = pairs.groupBy("user_id").agg(first.alias("_first")).select(
+    places = usable_pairs(mine).groupBy("user_id").agg(first.alias("_first")).select(
         "user_id", F.col("_first.listing_city").alias("reccity"),
         F.col("_first.listing_state").alias("recstate"))
-    users = email_users.withColumnRenamed("customer_id", "user_id").join(places, "user_id")
-    return (pairs.join(users, "user_id")
+    return (scrub_pairs(mine).join(mailable.join(places, "user_id"), "user_id")
             .withColumns({"variation": F.lit(variation), "experiment_name": F.lit(experiment)}))

@@ -55,10 +55,11 @@ def opted_in(opt_ins: DataFrame, channel: str, strip_prefix: str | None = None)
 def web_eligible(candidates: DataFrame, opted: DataFrame, saved_search: DataFrame) -> DataFrame:
     """Candidates of opted-in users without a saved search.
 
-    Users are settled first, on narrow rows; candidates are then only filtered by them.
+    Users are settled first, on narrow rows, and cut the candidates before repeated pairs are
+    looked for, so that only what is left is shuffled again.
     """
     users = opted.join(saved_search, "user_id", "left_anti")
-    return scrub_pairs(candidates).join(users, "user_id", "left_semi")
+    return scrub_pairs(candidates.join(users, "user_id", "left_semi"))
 
 
 def domzip_users(domzip: DataFrame, run_date: str, days: int = 30,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -17,6 +18,7 @@ from nestline.operators import (candidates as cand, channels, eligibility as eli
 from nestline.plans import daily
 from nestline.plans.store import Store
 from nestline.sample import views as v
+from nestline.session import tune
 from nestline.sources import readers, writers
 from nestline.sources.scratch import scratch_path
 
@@ -32,7 +34,11 @@ MAIN, HOLD, OTHER = "MAIN", "HOLD", "OTHER"
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        @wraps(function)
+        def tuned(spark: SparkSession, sf: str) -> DataFrame:
+            return function(tune(spark), sf)
+
+        QUERIES[function.__name__] = tuned
         if sql is not None:
             ORACLE[function.__name__] = v.with_views(sql)
         return function

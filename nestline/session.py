@@ -11,6 +11,9 @@ RUNTIME_CONF = {
     # many-to-one joins split a hot key even when that costs one more shuffle afterwards
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # a window or grouping by (user, listing) after a join by user gets a shuffle of its own:
+    # one busy user must not stay in one task because the join left it there
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # partition values such as month=06 and target_date=20200601 stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
