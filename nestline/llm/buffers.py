@@ -80,6 +80,20 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return run_hashes(folded, starts, ends), np.searchsorted(starts, offsets)
 
 
+def words_in_slices(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """words() of many bytes, made in slices of whole rows so that little memory is needed at a time."""
+    hashes, counts, first, rows = [], [], 0, len(offsets) - 1
+    while first < rows:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1)
+        h, f = words(offsets[first:last + 1] - offsets[first], data[offsets[first]:offsets[last]])
+        hashes.append(h)
+        counts.append(np.diff(f))
+        first = last
+    if not hashes:
+        return np.empty(0, np.uint64), np.zeros(rows + 1, np.int64)
+    return np.concatenate(hashes), np.concatenate(([0], np.cumsum(np.concatenate(counts))))
+
+
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     """A hash of every `size` consecutive words; of all words if there are fewer, none if there are none."""
     size = min(size, len(hashes))

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe
+from nestline.llm import bpe, contamination, lines
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -28,3 +28,65 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE encoding and decoding of every document."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY, public_tokenizers.PATTERN, ["doc_id"])
+
+
+@query
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in benchmark windows, the items they come from and the verdict."""
+    found = contamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], "found")
+    n_hit, n_items, verdict = contamination.measured("found")
+    return found.select("doc_id", F.col("found.n_words").alias("n_words"), n_hit.alias("n_hit"), n_items.alias("n_items"),
+                        F.sha2(F.coalesce(F.array_join("found.items", ","), F.lit("")), 256).alias("items_sha256"),
+                        verdict.alias("contaminated"))
+
+
+#: Lower-cased A-Z and cut into words, as all operators do.
+WORDS_SQL = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLE["op10_benchmark_decontamination"] = f"""
+WITH items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+windows AS (
+    SELECT item_id, len(w) AS n, array_to_string(w, ' ') AS x FROM items WHERE len(w) BETWEEN 1 AND 12
+    UNION ALL
+    SELECT item_id, 13, array_to_string(w[i:i + 12], ' ')
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS i FROM items WHERE len(w) >= 13)),
+places AS (
+    SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS x
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+found AS (SELECT r, i, n, item_id FROM places JOIN windows USING (n, x)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM found)) GROUP BY r),
+listed AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+           FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+"""
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its lines that later documents repeat."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.without_repeats(docs, "found").select(
+        "doc_id", "found.n_lines", "found.n_dropped", F.sha2("found.kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op8_line_dedup"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (
+    SELECT r, doc_id, i, l[i] AS line,
+           translate(trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT r, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM docs)),
+repeated AS (SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+             GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT r, doc_id, i, line, coalesce(doc_id < keeper, false) AS gone FROM lines LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
