@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, lines
+from nestline.llm import bpe, contamination, lines, near
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -90,3 +90,9 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY r, doc_id
 """
+
+
+@query
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document and the number of texts its own is linked with."""
+    return near.near_copies(table(spark, sf_dir, "documents"))
