@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, lines, near
+from nestline.llm import bpe, contamination, lines, near, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -96,3 +96,21 @@ FROM judged GROUP BY r, doc_id
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies of every document and the number of texts its own is linked with."""
     return near.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest other vectors of every twentieth vector."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op1_exact_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
