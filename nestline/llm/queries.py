@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, lines, near, topk
+from nestline.llm import bpe, contamination, lines, near, quality, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -114,3 +114,14 @@ scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, by a network that the held-out fifth had no part in."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.held_out(F.col("doc_id"), 5, 0)
+    network = quality.fit(docs, table(spark, sf_dir, "labels"), ~out)
+    return quality.score(docs, network, ["doc_id"], "judged").select(
+        "doc_id", out.alias("held_out"), F.col("judged.score").alias("score"),
+        (F.col("judged.score") >= quality.KEEP_FROM).cast("int").alias("predicted"))
