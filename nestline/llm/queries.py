@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, lines, near, quality, topk
+from nestline.llm import bpe, contamination, language, lines, near, quality, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -125,3 +125,13 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, network, ["doc_id"], "judged").select(
         "doc_id", out.alias("held_out"), F.col("judged.score").alias("score"),
         (F.col("judged.score") >= quality.KEEP_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by centroids that the held-out third had no part in."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs, ~out)
+    return language.predict(docs, model, ["doc_id"], "found").select(
+        "doc_id", out.alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
