@@ -19,7 +19,7 @@ IS_WORD = np.zeros(256, bool)
 IS_WORD[ord("0"):ord("9") + 1] = IS_WORD[ord("a"):ord("z") + 1] = IS_WORD[128:] = True
 BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

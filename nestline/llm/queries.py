@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, language, lines, near, quality, topk
+from nestline.llm import bpe, contamination, language, licenses, lines, near, quality, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -135,3 +135,33 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs, ~out)
     return language.predict(docs, model, ["doc_id"], "found").select(
         "doc_id", out.alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score", "found.rejected")
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template matches of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+TEMPLATES_SQL = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+PHRASES_SQL = " UNION ALL ".join(
+    f"SELECT r, i - 1 AS p, '{label}' AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs) "
+    f"WHERE array_to_string(w[i:i + {len(phrase.split()) - 1}], ' ') = '{phrase}'" for phrase, label in licenses.PHRASES)
+
+ORACLE["op2_license_scan"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text, {WORDS_SQL} AS w FROM documents),
+templates AS (SELECT label, list_distinct(string_split(t, ' ')) AS tokens FROM (VALUES {TEMPLATES_SQL}) x(k, label, t)),
+places AS ({PHRASES_SQL}),
+base AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word FROM places GROUP BY r),
+blocks AS (SELECT r, list_distinct({WORDS_SQL}) AS b FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM docs)),
+shares AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens)::DOUBLE AS share FROM blocks, templates),
+own AS (SELECT r, label, max(share) AS share FROM shares WHERE share >= {licenses.THRESHOLD} GROUP BY r, label),
+lists AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels
+          FROM (SELECT r, label FROM own UNION SELECT r, label FROM places) GROUP BY r),
+bases AS (SELECT r, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT r, label FROM places) GROUP BY r),
+best AS (SELECT r, max(share) AS share FROM own GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
+FROM docs LEFT JOIN base USING (r) LEFT JOIN lists USING (r) LEFT JOIN bases USING (r) LEFT JOIN best USING (r)
+"""
