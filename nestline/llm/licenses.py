@@ -10,9 +10,11 @@ bounded size, only their tokens' document counts, at most MAX_TOKENS of them, co
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 THRESHOLD, MAX_TOKENS = 0.8, 10_000
@@ -37,7 +39,12 @@ def lowered(text: Column) -> Column:
 
 
 def words_of(lowered_text: Column) -> Column:
-    return F.regexp_extract_all(lowered_text, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lowered_text, NO_WORD, -1), "")
+
+
+def bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """function(value), with value computed once however often the function uses it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
 
 
 def needed(tokens: int, threshold: float) -> int:
@@ -80,13 +87,8 @@ def block_matches(body: DataFrame, key: list[str], low: str, templates=TEMPLATES
     postings_df = spark.createDataFrame(postings, "token string, template int, label string, tokens array<string>, p int, size int, need int")
     least = min(p[-1] for p in postings)
     leads = sorted({p[0] for p in postings})
-    # a text without any of the templates' leading tokens has no block with one
-    some = F.lit(False)
-    for token in leads:
-        some = some | F.contains(F.col(low), F.lit(token))
-    blocks = (body.where(some).select(*key, F.explode(F.split(F.col(low), "\n", -1)).alias("line"))
-              .select(*key, F.array_intersect(F.lit(order), words_of(F.col("line"))).alias("block"))
-              .where(F.size("block") >= least))
+    held = F.transform(F.split(F.col(low), "\n", -1), lambda line: F.array_intersect(F.lit(order), words_of(line)))
+    blocks = body.select(*key, F.explode(F.filter(held, lambda block: F.size(block) >= least)).alias("block"))
     pairs = (blocks.select(*key, "block", F.posexplode("block").alias("q", "token")).where(F.col("token").isin(leads))
              .join(postings_df, "token")
              .where(F.least(F.col("size") - F.col("p"), F.size("block") - F.col("q")) >= F.col("need")))
@@ -109,14 +111,15 @@ def scan(docs: DataFrame, text: str = "text", doc: str = "doc_id", templates=TEM
     found = (block_matches(body, ["doc_id", "text_hash"], "low", templates, threshold).groupBy("doc_id", "text_hash")
              .agg(F.collect_set("label").alias("own"), F.max("containment").alias("share"))
              .select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "own", "share"))
-    # only texts with the phrases' common word are cut into words
-    words = F.when(F.contains("low", F.lit("license")), words_of(F.col("low"))).otherwise(F.array().cast("array<string>"))
-    places = [phrase_places(F.col("words"), phrase) for phrase, _ in PHRASES]
-    based = (body.select("doc_id", "text_hash", F.regexp_count("low", F.lit(WORD)).cast("long").alias("n_words"), words.alias("words"))
-             .select("doc_id", "text_hash", "n_words", *[p.alias(f"p{k}") for k, p in enumerate(places)])
-             .select("doc_id", "text_hash", "n_words", F.concat(*[f"p{k}" for k in range(len(places))]).alias("places"),
-                     F.array_compact(F.array(*[F.when(F.size(f"p{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(PHRASES)]))
-                     .alias("base")))
+    # a text without the phrases' common word has no place to look for
+    def phrases(words):
+        places = [phrase_places(words, phrase) for phrase, _ in PHRASES]
+        return F.struct(F.size(words).cast("long").alias("n_words"), F.when(F.array_contains(words, "license"), F.array(*places)).alias("places"))
+
+    based = (body.select("doc_id", "text_hash", bound(words_of(F.col("low")), phrases).alias("s"))
+             .select("doc_id", "text_hash", "s.n_words", F.coalesce(F.flatten("s.places"), F.array().cast("array<bigint>")).alias("places"),
+                     F.array_compact(F.array(*[F.when(F.size(F.get("s.places", F.lit(k))) > 0, F.lit(label))
+                                               for k, (_, label) in enumerate(PHRASES)])).alias("base")))
     joined = based.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("text_hash") == F.col("found_hash")), "left")
     own = F.coalesce("own", F.array().cast("array<string>"))
     return joined.select(
