@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, language, licenses, lines, near, quality, topk
+from nestline.llm import bpe, contamination, language, licenses, lines, near, pii, quality, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -165,3 +165,13 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0) END::DOUBLE AS score
 FROM docs LEFT JOIN base USING (r) LEFT JOIN lists USING (r) LEFT JOIN bases USING (r) LEFT JOIN best USING (r)
 """
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                        pii.listed(F.concat("base", "added")).alias("spans"))
