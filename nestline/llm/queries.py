@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, language, licenses, lines, near, pii, quality, topk
+from nestline.llm import bpe, contamination, language, licenses, lines, near, pii, quality, shards, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -175,3 +175,9 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
                         pii.listed(F.concat("base", "added")).alias("spans"))
+
+
+@query
+def op3_training_order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shards of all documents in training order, bytes as tokens."""
+    return shards.digests(shards.slotted(table(spark, sf_dir, "documents")))
