@@ -109,17 +109,15 @@ def without_repeats(docs: DataFrame, result: str, text: str = "text", doc: str =
     Rows without id are no documents: they neither count nor lose lines.
     """
     dropped = dropped_keys(docs, text, doc, min_chars, min_docs)
-    mark, keys = free_name(docs, "row_hash"), free_name(docs, "dropped_keys")
-    drops = dropped.select(F.xxhash64("doc_id", "text_hash").alias(mark), F.col("doc_id").alias("drop_doc"),
-                           F.col("text_hash").alias("drop_text"), F.col("keys").alias(keys))
+    mark, keys, other, other_doc, other_text = [
+        free_name(docs, n) for n in ("row_hash", "dropped_keys", "drop_hash", "drop_doc", "drop_text")]
+    drops = dropped.select(F.xxhash64("doc_id", "text_hash").alias(other), F.col("doc_id").alias(other_doc),
+                           F.col("text_hash").alias(other_text), F.col("keys").alias(keys))
     own_doc, own_text = F.col(f"`{doc}`").cast("long"), F.xxhash64(F.col(f"`{text}`").cast("string"))
     rows = docs.withColumn(mark, F.xxhash64(own_doc, own_text))
-    may_lose = bloom.of_longs(drops, mark, drops.count())
+    may_lose = bloom.of_longs(drops, other, drops.count())
     rest, some = rows.where(~may_lose(F.col(mark))), rows.where(may_lose(F.col(mark)))
-    names = [free_name(docs, n) for n in ("drop_doc", "drop_text")]
-    drops = drops.withColumnsRenamed(dict(zip(("drop_doc", "drop_text"), names)))
-    some = some.join(drops.withColumnRenamed(mark, "drop_hash"),
-                     (F.col(mark) == F.col("drop_hash")) & (own_doc == F.col(names[0])) & (own_text == F.col(names[1])), "left")
+    some = some.join(drops, (F.col(mark) == F.col(other)) & (own_doc == F.col(other_doc)) & (own_text == F.col(other_text)), "left")
     of = F.col(f"`{text}`").cast("string")
     kept = F.when(F.col(keys).isNull(), lines_of(of)).otherwise(
         F.filter(lines_of(of), lambda line: ~F.array_contains(F.col(keys), key_of(line))))
