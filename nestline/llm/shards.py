@@ -23,8 +23,8 @@ LENGTH, PER_SHARD, KEY = 1024, 2048, 20240531
 #: With bytes as tokens: end of a text, and what fills its last sequence.
 END, FILL = 256, 257
 STRIDE = 2 * LENGTH
-#: Bytes of text that a split of the numbering holds on average.
-SPLIT_BYTES = 16 << 20
+#: Bytes of text that a split of the numbering holds at most on average, and the least number of splits as a power of 2.
+SPLIT_BYTES, LEAST_SPLIT_BITS = 16 << 20, 9
 ROUNDS = 6
 
 
@@ -63,9 +63,8 @@ def slotted(docs: DataFrame, text: str = "text", doc: str = "doc_id", tokens: Ca
     body = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     body = body.withColumn("hash", F.xxhash64("doc_id", "text")).withColumn("n", F.floor(count(F.col("text")) / LENGTH).cast("long") + 1)
     total = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, int(total // SPLIT_BYTES).bit_length())
-    split = F.shiftrightunsigned("hash", 64 - bits).cast("int") if bits else F.lit(0)
-    rows = body.withColumn("split", split)
+    bits = max(LEAST_SPLIT_BITS, int(total // SPLIT_BYTES).bit_length())
+    rows = body.withColumn("split", F.shiftrightunsigned("hash", 64 - bits).cast("int"))
     sizes = {r.split: r.n for r in rows.groupBy("split").agg(F.sum("n").alias("n")).collect()}
     starts, size = {}, 0
     for k in sorted(sizes):
