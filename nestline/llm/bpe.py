@@ -27,7 +27,7 @@ from nestline.llm.buffers import free_name, with_results
 
 #: Bytes up to which a piece is merged without halving, tokens in the first window on a side of a seam,
 #: and the number of different parts whose encodings a task remembers.
-LEAF, WINDOW, MEMORY = 24, 2, 400_000
+LEAF, WINDOW, MEMORY = 24, 2, 200_000
 NONE = 1 << 62
 #: Finds characters for which the standard library's classes may differ from the Unicode categories.
 BEYOND_LATIN = re.compile("[^\x00-\x1b\x20-\x7f\xc0-\u024f]").search

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 FOLD = np.arange(256, dtype=np.uint8)
@@ -19,7 +19,9 @@ IS_WORD = np.zeros(256, bool)
 IS_WORD[ord("0"):ord("9") + 1] = IS_WORD[ord("a"):ord("z") + 1] = IS_WORD[128:] = True
 BYTE_VALUE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Rows in an Arrow batch, so that a batch of long texts stays small in the JVM and in Python.
+BATCH_ROWS = 1000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -113,13 +115,21 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Arrow batches of the session have BATCH_ROWS rows at most."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(setting))
+    spark.conf.set(setting, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS)
+
+
 def with_results(df: DataFrame, text: str, keep: list[str], result: str, fields: StructType,
                  work: Callable[[], Callable[[pa.Array], list]]) -> DataFrame:
     """The columns `keep` of df and a struct `result`, made from each row's text in Arrow batches.
 
     `work()` is called once in each task and returns what turns a column of texts into one array for
-    each field, in the order of the rows.
+    each field, in the order of the rows. Lowers the session's rows in an Arrow batch to BATCH_ROWS.
     """
+    small_batches(df.sparkSession)
     carried = df.select(*[F.col(f"`{c}`") for c in keep],
                         F.col(f"`{text}`").cast("string").alias(free_name(df, "whole_text")))
     schema = StructType([*carried.schema.fields[:-1], StructField(result, fields, False)])
