@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nestline.llm.buffers import small_batches
+from nestline.llm.buffers import prepare
 
 PROBES = 5
 SEGMENT_BITS = 1 << 19
@@ -75,7 +75,7 @@ def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: i
 
     `hashes` gives those of an Arrow batch, each as often as it is to be counted.
     """
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     fields = "segment int, lane int, once binary, twice binary"
 
     def parts(batches):

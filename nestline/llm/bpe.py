@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from nestline.llm.buffers import free_name, with_results
+from nestline.llm.buffers import free_name, prepare, with_results
 
 #: Bytes up to which a piece is merged without halving, tokens in the first window on a side of a seam,
 #: and the number of different parts whose encodings a task remembers.
@@ -148,6 +148,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", result:
 def decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", result: str = "decoded") -> DataFrame:
     """The columns of docs and the text that an array of ids stands for; bytes that are no UTF-8 become
     U+FFFD, null ids an empty text."""
+    prepare(docs.sparkSession)
+
     @_text_udf
     def decoded(batch):
         of = codec(path, pattern).decode

@@ -6,7 +6,13 @@ characters beyond ASCII are 0x80 or more, so words can be cut on bytes.
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -115,8 +121,19 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def small_batches(spark: SparkSession) -> None:
-    """From now on Arrow batches of the session have BATCH_ROWS rows at most."""
+def prepare(spark: SparkSession) -> None:
+    """Sends this package to the executors once, so that tasks can import it wherever the driver has found
+    it, and limits the session's Arrow batches to BATCH_ROWS rows."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    name = f"{package.name}-{context.applicationId}.zip"
+    if not any(str(x).endswith(name) for x in context._python_includes):
+        folder = os.path.realpath(tempfile.mkdtemp(prefix=package.name))  # the driver's own; Spark sends the file
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(f"{folder}/{name}", "w") as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(f"{folder}/{name}")
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     rows = int(spark.conf.get(setting))
     spark.conf.set(setting, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS)
@@ -127,9 +144,9 @@ def with_results(df: DataFrame, text: str, keep: list[str], result: str, fields:
     """The columns `keep` of df and a struct `result`, made from each row's text in Arrow batches.
 
     `work()` is called once in each task and returns what turns a column of texts into one array for
-    each field, in the order of the rows. Lowers the session's rows in an Arrow batch to BATCH_ROWS.
+    each field, in the order of the rows.
     """
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     carried = df.select(*[F.col(f"`{c}`") for c in keep],
                         F.col(f"`{text}`").cast("string").alias(free_name(df, "whole_text")))
     schema = StructType([*carried.schema.fields[:-1], StructField(result, fields, False)])

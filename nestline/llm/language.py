@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from nestline.llm.buffers import FOLD, slices, with_results
+from nestline.llm.buffers import FOLD, prepare, slices, with_results
 
 SLOTS, SAMPLE, CLUSTERS, TURNS = 4096, 400, 4, 12
 #: Sharpness of the softmax over the languages' cosines, and how much farther than its centroid's
@@ -71,6 +71,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["slot", "n"])
 
+    prepare(texts.sparkSession)
     seen = np.zeros(SLOTS + 1, np.int64)
     for row in texts.mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
         seen[row.slot] = row.n

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
+from nestline.llm.buffers import prepare
+
 LENGTH, PER_SHARD, KEY = 1024, 2048, 20240531
 #: With bytes as tokens: end of a text, and what fills its last sequence.
 END, FILL = 256, 257
@@ -60,6 +62,7 @@ def slotted(docs: DataFrame, text: str = "text", doc: str = "doc_id", tokens: Ca
     sequence that holds the end only. The order that is permuted is that of the hash of id and text, then id;
     rows equal in both follow each other. Rows may lack an id or share one.
     """
+    prepare(docs.sparkSession)
     body = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     body = body.withColumn("hash", F.xxhash64("doc_id", "text")).withColumn("n", F.floor(count(F.col("text")) / LENGTH).cast("long") + 1)
     total = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from nestline.llm.buffers import prepare
 from nestline.sources.scratch import written
 
 SCALE, K = 64, 20
@@ -146,6 +147,7 @@ def search(vectors: DataFrame, queries: Column, k: int = K, vec: str = "vec_id",
     vector: of rows that repeat it the one with the smallest components, compared in order, counts. Vectors
     are compared with those of as many components only. Scores are longs.
     """
+    prepare(vectors.sparkSession)
     rows = vectors.select(F.col(f"`{vec}`").cast("long").alias("vec_id"), quantised(F.col(f"`{embedding}`")).alias("v"),
                           F.coalesce(queries, F.lit(False)).alias("asks")).where("vec_id is not null and v is not null")
     rows = written(rows.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "vectors")
