@@ -84,7 +84,10 @@ class CampaignConfig:
     user_groups: int
     median_age_days: int = 180
     min_median_price: float = 9999.0
+    # windows of the daily jobs: events end the day before the run, the others with the run
+    event_days: int = 90
     profile_days: int = 30
+    feature_days: int = 31
     status: str = "for sale"
     states: tuple[str, ...] = STATES
     listing_types: tuple[str, ...] = LISTING_TYPES
@@ -92,10 +95,11 @@ class CampaignConfig:
     metric_ranks: tuple[int, ...] = (1, 3, 12)
     max_per_state: int = 10
     ground_truth_days: int = 7
-    recs_per_message: int = 1000
+    # positions in a message; None sends each user one message with all of them
+    recs_per_message: int | None = None
 
 
 NEW_LISTINGS = CampaignConfig("new_listings", "V2", top_zips=3, std_factor=1.5,
-                              listing_age_days=5, user_groups=50)
+                              listing_age_days=5, user_groups=50, event_days=5)
 RECOMMENDED_HOMES = CampaignConfig("recommended_homes", "V1", top_zips=4, std_factor=3.0,
                                    listing_age_days=90, user_groups=12)

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from nestline.functions.cuts import cuts_below, quantiles
-
 _RANK = "_row_in_key"
 
 
@@ -29,53 +27,48 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return top_per_key(df, keys, order, 1)
 
 
-def score_slices(df: DataFrame, keys: Sequence[str], score: str, max_rows: int,
-                 slices: int = 64, accuracy: int = 10_000) -> DataFrame:
-    """Score quantiles of the keys that hold more than ``max_rows`` rows.
-
-    At most (all rows / max_rows) keys qualify, which bounds what gets broadcast; see
-    ``skew.row_limit``. The quantiles only steer how work is split and need not be exact.
-    """
-    hot = df.groupBy(*keys).count().filter(F.col("count") > max_rows).select(*keys)
-    return (df.join(F.broadcast(hot), list(keys), "left_semi")
-            .groupBy(*keys)
-            .agg(F.percentile_approx(F.col(score).cast("double"), quantiles(slices), accuracy)
-                 .alias("_cuts")))
+def _rank_order(score: str, ties: Sequence[str]) -> list[Column]:
+    return [F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in ties]]
 
 
 def rank_within_key(df: DataFrame, keys: Sequence[str], score: str, ties: Sequence[str],
-                    rank_as: str = "seq_id", hot: DataFrame | None = None,
-                    slices: int = 64) -> DataFrame:
+                    rank_as: str = "seq_id") -> DataFrame:
     """Dense 1..n position of every row by score descending, nulls last.
 
-    All rows are kept, so a huge key cannot be limited before the shuffle. With ``hot`` (from
-    ``score_slices``, with as many slices) such a key is cut into score ranges that are ranked in separate tasks;
-    the sizes of the higher ranges are added afterwards. Equal scores share a range, so the
-    result is the same with and without ``hot``.
+    A key's rows meet in one task; ``deal_by_rank`` and ``rank_dealt`` spread them.
     """
-    order = [F.col(score).desc_nulls_last(), *[F.col(t).asc() for t in ties]]
-    if hot is None:
-        return df.withColumn(rank_as, F.row_number().over(
-            Window.partitionBy(*keys).orderBy(*order)))
+    return df.withColumn(rank_as, F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*_rank_order(score, ties))))
+
+
+def deal_by_rank(df: DataFrame, keys: Sequence[str], score: str, ties: Sequence[str]) -> DataFrame:
+    """Rows in ranges of (keys, score descending, ties), with the number of the range as ``_part``.
 
+    However many rows a key has and however many of them share a score or have none, they are
+    dealt out by size. The result has to be written before ``rank_dealt`` reads it.
+    """
+    return (df.repartitionByRange(*[F.col(k) for k in keys], *_rank_order(score, ties))
+            .withColumn("_part", F.spark_partition_id()))
+
+
+def rank_dealt(dealt: DataFrame, keys: Sequence[str], score: str, ties: Sequence[str],
+               rank_as: str = "seq_id") -> DataFrame:
+    """The positions that ``rank_within_key`` gives, for the written rows of ``deal_by_rank``.
+
+    Rows are numbered inside their range, and the sizes of a key's earlier ranges are added.
+    """
     keys = list(keys)
-    above = slices - 1 - cuts_below(F.col("_cuts"), F.col(score).cast("double"), slices,
-                                    or_equal=True)
-    sliced = (df.join(F.broadcast(hot), keys, "left")
-              .withColumn("_slice", F.when(F.col("_cuts").isNull(), 0)
-                          .when(F.col(score).isNull(), slices)
-                          .otherwise(above)))
-    sizes = (sliced.filter(F.col("_cuts").isNotNull())
-             .groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows")))
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_slice", F.sum("_rows").over(before).alias("_offset"))
-    local = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*order))
-    # hot keys x slices rows: as bounded as ``hot`` itself
-    return (sliced.withColumn("_local", local)
-            .join(F.broadcast(offsets), [*keys, "_slice"], "left")
-            .withColumn(rank_as, (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("int"))
-            .drop("_cuts", "_slice", "_local", "_offset"))
+    sizes = dealt.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_part").alias("_of"),
+                           F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    local = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*_rank_order(score, ties)))
+    same = F.col("_part") == F.col("_of")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return (dealt.withColumn("_local", local).join(offsets, same)
+            .withColumn(rank_as, (F.col("_local") + F.col("_offset")).cast("int"))
+            .drop("_part", "_local", "_of", "_offset", *[f"_{k}" for k in keys]))
 
 
 def order_breaks(df: DataFrame, keys: Sequence[str], position: str, value: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from nestline.config import EMAIL_FIELDS, ENVELOPES, MEMBER_ID_MAX_LENGTH, PUSH_FIELDS
 
@@ -15,20 +15,27 @@ def message_fields(event_type: str) -> tuple[str, ...]:
     return EMAIL_FIELDS if event_type.endswith("email") else PUSH_FIELDS
 
 
-def assemble(candidates: DataFrame, fields: Sequence[str] = PUSH_FIELDS,
-             per_message: int = 1000) -> DataFrame:
+def assemble(candidates: DataFrame, fields: Sequence[str],
+             per_message: int | None) -> DataFrame:
     """One row per user, variation and experiment with its recommendations in rank order.
 
-    ``seq_id`` decides order and, beyond ``per_message`` positions, the ``part`` a
-    recommendation is sent in: a message stays bounded and nothing is left out. Positions are
-    unique per user, or per user and state, as the ranking operators make them.
+    ``seq_id`` decides the order, nulls first, then state and listing. With ``per_message=None``
+    each user gets one message; with a number the user's rows are sent that many at a time, and
+    ``part`` of ``parts`` says which message it is. Nothing is left out either way.
     """
-    rank = F.col("seq_id")
-    entry = F.struct(rank.alias("at"), F.col("listing_state").alias("state"),
-                     F.col("listing_id").alias("listing"), F.struct(*fields).alias("item"))
-    part = F.coalesce(F.floor((rank - 1) / per_message), F.lit(0)).cast("int")
-    return (candidates.filter(F.col("variation").isNotNull())
-            .groupBy(*_ADDRESSEE, part.alias("part"))
+    order = [F.col("seq_id"), F.col("listing_state"), F.col("listing_id")]
+    entry = F.struct(order[0].alias("at"), order[1].alias("state"), order[2].alias("listing"),
+                     F.struct(*fields).alias("item"))
+    sent = candidates.filter(F.col("variation").isNotNull())
+    if per_message is None:
+        sent = sent.withColumns({"part": F.lit(0), "parts": F.lit(1)})
+    else:
+        mine = Window.partitionBy(*_ADDRESSEE)
+        place = F.row_number().over(mine.orderBy(*order)) - 1
+        sent = sent.withColumns({
+            "part": F.floor(place / per_message).cast("int"),
+            "parts": F.ceil(F.count(F.lit(1)).over(mine) / per_message).cast("int")})
+    return (sent.groupBy(*_ADDRESSEE, "part", "parts")
             .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
             .withColumn("recommendations", F.transform("_entries", lambda e: e["item"]))
             .drop("_entries"))

@@ -21,12 +21,11 @@ from nestline.sources import writers
 
 @dataclass(frozen=True)
 class Skew:
-    """Smallest keys worth splitting, in rows; below it plain joins and windows are used."""
+    """Rows from which on a key is split, whatever the size of its table."""
 
     users_per_zip: int = 50_000
     listings_per_zip: int = 20_000
     rows_per_listing: int = 2_000_000
-    rows_per_user: int = 1_000_000
 
 
 def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
@@ -36,6 +35,7 @@ def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
 
     The history is read once, for the longest window; the others are cut from its result.
     """
+    profiles = snapshot.within_days(profiles, "target_date", store.day, config.profile_days)
     longest = max(config.median_age_days, config.listing_age_days)
     current = store.save("current_listings", lst.build_listings(
         history, store.day, longest, config.status, config.listing_types, config.states, url))
@@ -47,12 +47,6 @@ def listings_and_users(store: Store, config: CampaignConfig, history: DataFrame,
     return listings, users
 
 
-def _saved_hot(store: Store, name: str, hot: DataFrame) -> DataFrame | None:
-    """A short list of hot keys, written because it is used twice; None when there are none."""
-    saved = store.save(name, hot)
-    return None if saved.isEmpty() else saved
-
-
 def new_listings(store: Store, config: CampaignConfig, history: DataFrame, events: DataFrame,
                  profiles: DataFrame, user_features: DataFrame, listing_features: DataFrame,
                  lookups: Sequence[scoring.Lookup], score: Callable[[DataFrame], Column],
@@ -64,27 +58,32 @@ def new_listings(store: Store, config: CampaignConfig, history: DataFrame, event
     and candidates_ranked, get the listing attributes when they are written. ``ties`` names
     columns that choose between several profiles or feature rows of a user on one day.
     """
+    events = snapshot.within_days(events, "event_date", store.day, config.event_days, False)
     listings, users = listings_and_users(store, config, history, events, profiles, url, ties)
-    hot = _saved_hot(store, "hot_zips", cand.hot_zips(
-        users, listings, skew.row_limit(users, limits.users_per_zip),
-        skew.row_limit(listings, limits.listings_per_zip)))
+    # lists of hot keys are written because they are used twice
+    hot = store.save("hot_zips", cand.hot_zips(
+        users, listings, limits.users_per_zip, limits.listings_per_zip))
     made = cand.generate_candidates(users, cand.slim_listings(listings), hot)
     pairs = store.save("candidate_pairs", cand.tag_interactions(
         made, cand.interaction_flags(events)))
     store.save("candidates", cand.attach_listings(pairs, listings))
 
+    user_features = snapshot.within_days(user_features, "target_date", store.day,
+                                         config.feature_days)
     rest = [c for c in user_features.columns if c not in ("user_id", "target_date", *ties)]
     latest = snapshot.latest_per_key(user_features, ["user_id"], ["target_date"],
                                      (*ties, *rest)).drop(*ties)
-    busy = _saved_hot(store, "hot_listings", skew.hot_keys(
-        pairs, ["listing_id"], skew.row_limit(pairs, limits.rows_per_listing)))
+    busy = store.save("hot_listings", skew.hot_keys(
+        pairs, ["listing_id"], limits.rows_per_listing))
     features = store.save("features", scoring.build_features(
         pairs, latest, listing_features, lookups, busy), ["user_group"])
 
-    scored = features.withColumn("match_score", score(features).cast("double"))
-    slices = _saved_hot(store, "hot_users", keyed.score_slices(
-        scored, ["user_id"], "match_score", skew.row_limit(features, limits.rows_per_user)))
-    ranked = scoring.rank_candidates(scored, F.col("match_score"), slices)
+    # the model runs once for each pair: what it says is written, and ranked from there
+    carried = [c for c in pairs.columns if c in features.columns]
+    scored = features.select(*carried, score(features).cast("double").alias("match_score"))
+    by_score = (["user_id"], "match_score", ["listing_id"])
+    dealt = store.save("scores", keyed.deal_by_rank(scored, *by_score))
+    ranked = keyed.rank_dealt(dealt, *by_score)
     return store.save("candidates_ranked", cand.attach_listings(ranked, listings),
                       ["user_group"])
 
@@ -94,6 +93,7 @@ def recommended_homes(store: Store, config: CampaignConfig, history: DataFrame,
                       apply_price_band: bool = False, url: str = "ldp_url",
                       ties: tuple[str, ...] = ()) -> DataFrame:
     """Upstream recommendations narrowed to favourite zips: the best of every user and state."""
+    events = snapshot.within_days(events, "event_date", store.day, config.event_days, False)
     listings, users = listings_and_users(store, config, history, events, profiles, url, ties)
     wanted = recommendations.filter(F.col("state").isin(*config.states))
     flat = store.save("recommendations", cand.explode_ranked(wanted), ["state"])
@@ -148,8 +148,11 @@ def email_bucketing(store: Store, ranked: DataFrame, users: DataFrame, variation
 
 
 def deliver(store: Store, candidates: DataFrame, event_type: str, client_id: str,
-            client_name: str, per_message: int = 1000) -> int:
-    """Write one message per user and return how many there are."""
+            client_name: str, per_message: int | None) -> int:
+    """Write the messages and return how many there are.
+
+    ``per_message`` is the campaign's ``recs_per_message``: None for one message per user.
+    """
     built = msg.assemble(candidates, msg.message_fields(event_type), per_message)
     sent = msg.envelope(built, event_type, client_id, client_name)
     return writers.write_messages(sent, f"{store.path('messages_' + event_type)}/"
@@ -224,7 +227,7 @@ def validate(store: Store, listings: DataFrame, users: DataFrame, candidates: Da
     if previous_day is not None:
         for name, key in (("users", "user_id"), ("candidates", "user_id"),
                           ("listings", "listing_id"), ("candidates_ranked", "listing_id")):
-            days = store.all_days(listings.sparkSession, name).withColumn(
+            days = store.days(listings.sparkSession, name, [previous_day, store.day]).withColumn(
                 "target_date", F.col("target_date").cast("string"))
             checks[f"drift_{name}"] = dq.dq_drift(days, "target_date", key, store.day,
                                                   previous_day)

@@ -268,8 +268,7 @@ def candidate_generation_split(spark, sf):
     """The same join with every busy zip cut into price ranges and user parts."""
     listings = _written(spark, "listings", _listings(spark, sf, 180))
     users = _written(spark, "users", _users(spark, sf, medians=prof.group_median(listings)))
-    hot = _written(spark, "hot", cand.hot_zips(users, listings, skew.row_limit(users, 100),
-                                               skew.row_limit(listings, 10)))
+    hot = _written(spark, "hot", cand.hot_zips(users, listings, 100, 10))
     return _shape(cand.generate_candidates(users, listings, hot))
 
 
@@ -385,7 +384,7 @@ def join_features(spark, sf):
 def join_features_split(spark, sf):
     """The same join with the busiest listings split over several tasks."""
     pairs = _written(spark, "pairs", _pairs(spark, sf))
-    hot = _written(spark, "hot", skew.hot_keys(pairs, ["listing_id"], skew.row_limit(pairs, 100)))
+    hot = _written(spark, "hot", skew.hot_keys(pairs, ["listing_id"], 100))
     joined = scoring.join_features(pairs, _latest_features(spark, sf),
                                    v.listing_features(spark, sf), hot)
     return rounded(joined.select("user_id", "listing_id", "price", "cal_price_t90",
@@ -429,17 +428,22 @@ def _lookups(spark: SparkSession, sf: str) -> list[scoring.Lookup]:
     city, zips = ("consumer_ip_city", "ldp_city"), ("consumer_ip_zip", "ldp_zip")
     cities = v.pair_lookup(spark, sf, *city, "m", ("City", "Town"), 10)
     zones = v.pair_lookup(spark, sf, *zips, "m", ("Z", "Z"), 12)
+    def listing_side(table: DataFrame) -> DataFrame:
+        return table.withColumn("n", F.col("m").try_cast("double") + 1).drop("m")
+
     return [scoring.Lookup(cities, city, "m", "con_pct_web_uls_median_city"),
-            scoring.Lookup(cities, city, "m", "ldp_pct_web_uls_median_city"),
+            scoring.Lookup(listing_side(cities), city, "n", "ldp_pct_web_uls_median_city"),
             scoring.Lookup(zones, zips, "m", "con_pct_web_uls_median_zip"),
-            scoring.Lookup(zones, zips, "m", "ldp_pct_web_uls_median_zip")]
+            scoring.Lookup(listing_side(zones), zips, "n", "ldp_pct_web_uls_median_zip")]
 
 
 @query(f"""SELECT p.user_id, p.listing_id,
                   round(c.m, 6) AS con_pct_web_uls_median_city,
-                  round(c.m, 6) AS ldp_pct_web_uls_median_city,
+                  round(c.m + 1, 6) AS ldp_pct_web_uls_median_city,
                   round(z.m, 6) AS con_pct_web_uls_median_zip,
-                  round(z.m, 6) AS ldp_pct_web_uls_median_zip
+                  round(z.m + 1, 6) AS ldp_pct_web_uls_median_zip,
+                  CAST(CASE WHEN c.m IS NULL THEN 2 ELSE 0 END
+                       + CASE WHEN z.m IS NULL THEN 2 ELSE 0 END AS BIGINT) AS n_filled
            {_JOINED_SQL}
            LEFT JOIN v_con_city c ON c.consumer_ip_city = u.consumer_ip_city
                                  AND c.ldp_city = l.ldp_city
@@ -449,8 +453,11 @@ def lookup_enrich(spark, sf):
     lookups = _lookups(spark, sf)
     joined = _joined(spark, sf).select("user_id", "listing_id", "consumer_ip_city", "ldp_city",
                                        "consumer_ip_zip", "ldp_zip")
-    enriched = scoring.lookup_enrich(joined, lookups, fill_nan=False)
-    return rounded(enriched.select("user_id", "listing_id", *[x.name for x in lookups]))
+    names = [x.name for x in lookups]
+    enriched = scoring.lookup_enrich(joined, lookups)
+    filled = sum((F.isnan(n).cast("long") for n in names), F.lit(0).cast("long"))
+    return rounded(enriched.select("user_id", "listing_id", *[
+        F.nanvl(n, F.lit(None).cast("double")).alias(n) for n in names], filled.alias("n_filled")))
 
 
 _RANK_SQL = """
@@ -472,13 +479,11 @@ def rank_candidates(spark, sf):
 
 @query(_RANK_SQL)
 def rank_candidates_split(spark, sf):
-    """The same ranking with busy users cut into score ranges."""
+    """The same ranking with all rows dealt out in ranges of user, score and listing."""
     scored = _scored(spark, sf)
-    scored = _written(spark, "scored", scored)
-    hot = _written(spark, "hot", keyed.score_slices(
-        scored, ["user_id"], "match_score", skew.row_limit(scored, 60), 8))
-    ranked = scoring.rank_candidates(scored, F.col("match_score"), hot, slices=8)
-    return ranked.withColumn("seq_id", F.col("seq_id").cast("long"))
+    order = (["user_id"], "match_score", ["listing_id"])
+    dealt = _written(spark, "dealt", keyed.deal_by_rank(scored, *order))
+    return keyed.rank_dealt(dealt, *order).withColumn("seq_id", F.col("seq_id").cast("long"))
 
 
 @query("""SELECT user_id, zip_code, CAST(user_group AS BIGINT) AS user_group FROM v_users_nl
@@ -676,7 +681,9 @@ def bucket_app(spark, sf):
 
 
 @query(f"""SELECT c.user_id, c.listing_id, c.seq_id, b.experiment_name, b.variation
-           FROM v_clean_ranked c JOIN {_EXCLUSIVE} b USING (user_id)
+           FROM v_clean_ranked c JOIN (
+             WITH bucketed AS MATERIALIZED (SELECT * FROM {_EXCLUSIVE}) SELECT * FROM bucketed
+           ) b USING (user_id)
            WHERE b.experiment_name = 'HOLD'
               OR (b.experiment_name = 'MAIN' AND b.variation = 'V1')""")
 def attach_variation(spark, sf):
@@ -734,27 +741,32 @@ def _bucketed_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _ASSEMBLED = f"""
-    SELECT user_id, variation, experiment_name, CAST((seq_id - 1) // {{size}} AS INTEGER) AS part,
+    SELECT user_id, variation, experiment_name, CAST(place // {{size}} AS INTEGER) AS part,
+           CAST(ceil(max(mine) / {{size}}) AS INTEGER) AS parts,
            string_agg(listing_id, ',' ORDER BY seq_id, listing_state, listing_id) AS listing_ids,
            string_agg(listing_city, ',' ORDER BY seq_id, listing_state, listing_id) AS cities,
            count(*) AS n
-    FROM (SELECT *, 'AB' AS experiment_name, {_variation_sql("'AB'")} AS variation
-          FROM v_clean_ranked)
-    WHERE variation IS NOT NULL GROUP BY ALL"""
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id
+                      ORDER BY seq_id NULLS FIRST, listing_state, listing_id) - 1 AS place,
+                 count(*) OVER (PARTITION BY user_id) AS mine
+          FROM (SELECT *, 'AB' AS experiment_name, {_variation_sql("'AB'")} AS variation
+                FROM v_clean_ranked)
+          WHERE variation IS NOT NULL)
+    GROUP BY user_id, variation, experiment_name, part"""
 
 
-def _assembled(spark: SparkSession, sf: str, per_message: int) -> DataFrame:
+def _assembled(spark: SparkSession, sf: str, per_message: int | None) -> DataFrame:
     built = msg.assemble(_bucketed_candidates(spark, sf), PUSH_FIELDS, per_message)
     return built.select(
-        "user_id", "variation", "experiment_name", "part",
+        "user_id", "variation", "experiment_name", "part", "parts",
         F.array_join(F.col("recommendations.listing_id"), ",").alias("listing_ids"),
         F.array_join(F.col("recommendations.listing_city"), ",").alias("cities"),
         F.size("recommendations").cast("long").alias("n"))
 
 
-@query(_ASSEMBLED.format(size=1000))
+@query(_ASSEMBLED.format(size=1_000_000_000))
 def assemble(spark, sf):
-    return _assembled(spark, sf, 1000)
+    return _assembled(spark, sf, None)
 
 
 @query(_ASSEMBLED.format(size=4))
@@ -779,7 +791,7 @@ def envelope(spark, sf):
     routed = _email_candidates(spark, sf).withColumn("user_id", F.when(
         user.cast("long") % 2 == 0, F.concat(F.lit("visitor-with-a-long-id-"),
                                              F.lpad(user, 8, "0"))).otherwise(user))
-    sent = msg.envelope(msg.assemble(routed, msg.message_fields("recommended_homes_email")),
+    sent = msg.envelope(msg.assemble(routed, msg.message_fields("recommended_homes_email"), None),
                         "recommended_homes_email", "client", "client name")
     shape = ("struct<meta: struct<version: string, notificationType: string, "
              "experiment: struct<key: string, variation: string>>, "
@@ -1150,7 +1162,7 @@ def register_partitions(spark, sf):
     path = scratch_path(spark, "registered")
     writers.write_partitioned(v.biz_events(spark, sf), path, ["event_date"])
     name = "registered_" + path.rsplit("-", 1)[-1]
-    writers.register(spark, name, path, ["event_date"])
+    writers.register(spark, name, path, v.biz_events(spark, sf).schema, ["event_date"])
     return spark.table(name).groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -1169,19 +1181,28 @@ def member_map_table(spark, sf):
 
 # ------------------------------------------------------------------ whole days
 
-_TAGGED = """
+def _tagged(first_day: str) -> str:
+    """Tags from the events of first_day up to the day before the run, which is 24 years after RUN_DATE."""
+    return f"""
     LEFT JOIN (SELECT DISTINCT uid, listing_id FROM v_events
-               WHERE page_type LIKE '%ldp%' AND on_sale) i
+               WHERE page_type LIKE '%ldp%' AND on_sale
+                 AND event_date BETWEEN '{first_day}' AND '20240114') i
       ON i.uid = c.user_id AND i.listing_id = c.listing_id
     LEFT JOIN (SELECT DISTINCT uid, listing_id FROM v_events
-               WHERE lower(saved_items) = 'y' AND on_sale) s
+               WHERE lower(saved_items) = 'y' AND on_sale
+                 AND event_date BETWEEN '{first_day}' AND '20240114') s
       ON s.uid = c.user_id AND s.listing_id = c.listing_id"""
+
+
 _TAGS = """CASE WHEN i.uid IS NOT NULL THEN 'y' ELSE 'n' END AS viewed,
            CASE WHEN s.uid IS NOT NULL THEN 'y' ELSE 'n' END AS saved_home"""
 
 
 def _day(spark: SparkSession, sf: str) -> dict:
-    return {"history": v.listing_history(spark, sf), "events": v.biz_events(spark, sf),
+    # the events of 2024, as if of the year of the run
+    events = v.biz_events(spark, sf).withColumn(
+        "event_date", F.concat(F.lit("2000"), F.substring("event_date", 5, 4)))
+    return {"history": v.listing_history(spark, sf), "events": events,
             "profiles": v.profiles(spark, sf), "url": "property_url", "ties": ("snapshot_id",)}
 
 
@@ -1190,7 +1211,7 @@ def _day(spark: SparkSession, sf: str) -> dict:
                                      ORDER BY f.price DESC, c.listing_id) AS seq_id, {_TAGS}
            FROM ({_CANDIDATES.format(days=60)}) c
            JOIN v_listing_features f USING (listing_id)
-           JOIN {_LATEST_FEATURES} u USING (user_id) {_TAGGED}""")
+           JOIN {_LATEST_FEATURES} u USING (user_id) {_tagged("20240105")}""")
 def new_listings_day(spark, sf):
     """A complete day of the first campaign through its written tables, scored by price."""
     ranked = daily.new_listings(
@@ -1198,14 +1219,13 @@ def new_listings_day(spark, sf):
         user_features=v.user_features(spark, sf),
         listing_features=v.listing_features(spark, sf), lookups=_lookups(spark, sf),
         score=lambda features: F.col("price"),
-        limits=daily.Skew(users_per_zip=100, listings_per_zip=10, rows_per_listing=50,
-                          rows_per_user=60), **_day(spark, sf))
+        limits=daily.Skew(users_per_zip=100, listings_per_zip=10, rows_per_listing=50), **_day(spark, sf))
     return rounded(ranked.select("user_id", "listing_id", "listing_state", "match_score",
                                  F.col("seq_id").cast("long"), "viewed", "saved_home"))
 
 
 @query(f"""SELECT c.user_id, c.state, c.listing_id, c.seq_id, {_TAGS}
-           FROM ({_FILTERED.format(band="TRUE")}) c {_TAGGED}""")
+           FROM ({_FILTERED.format(band="TRUE")}) c {_tagged("20240109")}""")
 def recommended_homes_day(spark, sf):
     """A complete day of the second campaign through its written tables."""
     ranked = daily.recommended_homes(
@@ -1213,3 +1233,15 @@ def recommended_homes_day(spark, sf):
         recommendations=v.recommendations(spark, sf).drop("source_row"), **_day(spark, sf))
     return ranked.select("user_id", "state", "listing_id", F.col("seq_id").cast("long"),
                          "viewed", "saved_home")
+
+
+def _cut_days(name: str, config) -> None:
+    """The windows of a campaign's daily job, put into the views its SQL starts from."""
+    for view, days in (("v_profiles", config.profile_days), ("v_user_features", config.feature_days)):
+        first = readers.last_days(v.RUN_DATE, days)[0]
+        cut = f"SELECT * FROM ({v.SQL[view]}) WHERE target_date BETWEEN '{first}' AND '{v.RUN_DATE}'"
+        ORACLE[name] = ORACLE[name].replace(v.SQL[view], cut)
+
+
+_cut_days("new_listings_day", v.NL)
+_cut_days("recommended_homes_day", v.RH)

@@ -17,25 +17,15 @@ from nestline.config import NEW_LISTINGS, RECOMMENDED_HOMES
 RUN_DATE = "20000115"
 ORDERS_END = "20010801"
 EVENTS_END = "20240130"
-# every order counts as a recent profile: the sample tables span years, not 30 days
-NL = replace(NEW_LISTINGS, listing_age_days=60)
-RH = replace(RECOMMENDED_HOMES, listing_age_days=180)
+# the sample tables span years, so the windows of profiles and features do
+NL = replace(NEW_LISTINGS, listing_age_days=60, event_days=10, profile_days=2000, feature_days=1500)
+RH = replace(RECOMMENDED_HOMES, listing_age_days=180, event_days=6, profile_days=2500)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def rows_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table to derive many rows or columns from, with at least one part per core.
-
-    The test tables are single files with one row group, which only one task can read. Inputs
-    of as many files as cores are left as they are.
-    """
-    df, cores = table(spark, sf, name), spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -62,7 +52,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
         F.when((key + i) % 37 == 0, "n/a").otherwise(_text((key * 13 + i * 17) % 1000))
         .alias("score")))
     mean = F.col("o_totalprice") / 5
-    return rows_of(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"),
         F.when(key % 41 == 0, F.lit(None)).when(key % 43 == 0, F.slice(entries, 1, 0))
         .otherwise(entries).alias("zip_stats"),
@@ -74,7 +64,7 @@ def profiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def listing_history(spark: SparkSession, sf: str) -> DataFrame:
-    lines = rows_of(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select(
         "l_partkey", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag",
         "l_linestatus", "l_shipdate")
     rows = lines.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -121,7 +111,7 @@ def biz_events(spark: SparkSession, sf: str) -> DataFrame:
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     kind = F.col("event_type")
     listing = _text(k * 2 + event % 2)
-    return rows_of(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         event.alias("event_id"),
         F.when((user % 2 == 0) | (event % 97 == 0) | (event % 89 == 0), "")
         .otherwise(_text(user)).alias("member_id"),
@@ -150,7 +140,7 @@ def recommendations(spark: SparkSession, sf: str) -> DataFrame:
         _text(i).alias("mpr_id"),
         F.when((key + i) % 53 == 0, "unknown").otherwise(_text((key * 7 + i * i * 31) % 200))
         .alias("listing_id")))
-    return rows_of(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"),
         F.when(key % 29 != 0, entries).alias("recommendations"),
         _pick(["NM", "DC", "TX", "CA", "NY"],
@@ -164,11 +154,11 @@ def ranked(spark: SparkSession, sf: str) -> DataFrame:
     The same positions as in ``recommendations``, straight as rows.
     """
     key = F.col("o_orderkey")
-    rows = rows_of(spark, sf, "orders").filter(key % 29 != 0).select(
+    rows = table(spark, sf, "orders").select(
         "o_custkey", key.alias("row"),
         _pick(["NM", "DC", "TX", "CA", "NY"],
               F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("state"),
-        F.explode(F.sequence(F.lit(1).cast("long"), 1 + key % 12)).alias("seq"))
+        F.explode(F.when(key % 29 != 0, F.sequence(F.lit(1).cast("long"), 1 + key % 12))).alias("seq"))
     rows = rows.withColumn("known", (F.col("row") + F.col("seq")) % 53 != 0).withColumn(
         "number", F.when(F.col("known"), (F.col("row") * 7 + F.col("seq") * F.col("seq") * 31)
                          % 200).otherwise(7))
@@ -209,7 +199,7 @@ def user_features(spark: SparkSession, sf: str) -> DataFrame:
         "cal_sqft": F.when(key % 13 != 0, price / 90)}
     columns = [c.alias(f"{name}_t90") for name, c in usual.items()]
     columns += [(c * 0.75).alias(f"{name}_t90_20") for name, c in usual.items()]
-    return rows_of(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         _customer("o_custkey").alias("user_id"), _day("o_orderdate").alias("target_date"),
         key.alias("snapshot_id"), *columns,
         ((key % 170) - 85).cast("double").alias("cal_lat_t90"),
@@ -297,11 +287,12 @@ def accounts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assignments(spark: SparkSession, sf: str, shift: int) -> DataFrame:
-    """Past experiment assignments of some customers, repeated once per order."""
+    """Past experiment assignments, null for some customers, repeated once per order."""
     user = F.col("o_custkey")
-    return table(spark, sf, "orders").filter((user + shift) % 9 < 5).select(
+    place = (user + shift) % 9
+    return table(spark, sf, "orders").select(
         _text(user).alias("user_id"),
-        _pick(["HOLD", "MAIN", "MAIN", "OTHER", "OLD"], (user + shift) % 9)
+        F.when(place < 5, _pick(["HOLD", "MAIN", "MAIN", "OTHER", "OLD"], place % 5))
         .alias("experiment_name"),
         _pick(["V1", "V2", "C"], user % 3).alias("variation"))
 
@@ -327,7 +318,7 @@ def _sql_assignments(shift: int) -> str:
              (['HOLD', 'MAIN', 'MAIN', 'OTHER', 'OLD'])[(o_custkey + {shift}) % 9 + 1]
                AS experiment_name,
              (['V1', 'V2', 'C'])[o_custkey % 3 + 1] AS variation
-      FROM orders WHERE (o_custkey + {shift}) % 9 < 5"""
+      FROM orders"""
 
 
 SQL = {

@@ -1,16 +1,16 @@
 """Partitioned reads.
 
-A table is always opened at its root and cut by a predicate on its partition columns: Spark
-prunes the folders, and a missing day simply is not there.
+A look-back opens the folders of its days only, however many days the table has; a missing day
+simply is not there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.operators.eligibility import day_before, ymd
 from nestline.operators.scoring import Lookup
 from nestline.sources import schemas
 
@@ -21,6 +21,24 @@ def read_table(spark: SparkSession, base: str, fmt: str = "parquet",
     return (reader.schema(schema) if schema else reader).load(base)
 
 
+def last_days(end: str, days: int) -> list[str]:
+    """``end`` and the days before it, ``days`` in all."""
+    last = datetime.strptime(end, "%Y%m%d")
+    return [(last - timedelta(days=n)).strftime("%Y%m%d") for n in range(days - 1, -1, -1)]
+
+
+def read_folders(spark: SparkSession, base: str, folders: Sequence[str],
+                 schema: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """The rows of those partition folders of a table that exist, with the partition columns."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [f for f in (f"{base.rstrip('/')}/{name}" for name in folders) if files.exists(path(f))]
+    if not there:
+        return read_table(spark, base, fmt, schema).limit(0)
+    reader = spark.read.format(fmt).option("basePath", base)
+    return (reader.schema(schema) if schema else reader).load(there)
+
+
 def read_lookback(spark: SparkSession, base: str, part_col: str, end: str, days: int,
                   schema: str | None = None, fmt: str = "parquet",
                   end_inclusive: bool = True) -> DataFrame:
@@ -28,17 +46,15 @@ def read_lookback(spark: SparkSession, base: str, part_col: str, end: str, days:
 
     With ``end_inclusive=False`` the window is the ``days`` days before ``end``.
     """
-    last = end if end_inclusive else day_before(end, 1)
-    day = F.col(part_col).cast("string")
-    return (read_table(spark, base, fmt, schema)
-            .filter(day.between(day_before(last, days - 1), last)))
+    last = end if end_inclusive else last_days(end, 2)[0]
+    return read_folders(spark, base, [f"{part_col}={d}" for d in last_days(last, days)], schema, fmt)
 
 
 def read_lookback_ymd(spark: SparkSession, base: str, end: str, days: int,
                       schema: str, fmt: str = "parquet") -> DataFrame:
     """The same for tables partitioned by year, month and day."""
-    return (read_table(spark, base, fmt, schema)
-            .filter(ymd().between(day_before(end, days - 1), end)))
+    folders = [f"year={d[:4]}/month={d[4:6]}/day={d[6:]}" for d in last_days(end, days)]
+    return read_folders(spark, base, folders, schema, fmt)
 
 
 def union_years(history: DataFrame, run_year: int, years_back: int = 1,

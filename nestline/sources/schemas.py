@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
+# Fixed names of the sources' fields; only those that are read, so that nothing else is parsed.
 REAL_PROFILE = """
     user_id string,
-    zip_stats array<struct<category_name: string, overall_prop: string,
-        overall_description: string, overall_success: string, overall_size: string,
-        score: string, change_in_current_pref: string, change_in_lead_share_save_pref: string,
-        is_top_n_geo: string, if_manual_override: string>>,
-    price_stats struct<overall_median: string, overall_min_conf_interval: string,
-        change_in_lead_share_save_pref: string, change_in_current_pref: string,
-        overall_mean: string, overall_third_quartile: string, overall_std_dev: string,
-        overall_max_conf_interval: string, overall_IQR: string,
-        overall_first_quartile: string, overall_std_err: string, overall_n_obs: string,
-        if_manual_override: string, overall_bins: string, overall_description: string,
-        overall_bin_cnt: string, manual_override_datetime: string>,
+    zip_stats array<struct<category_name: string, score: string>>,
+    price_stats struct<overall_mean: string, overall_std_dev: string>,
     target_date string
 """
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str] = ("target_date",),
@@ -40,13 +41,8 @@ def materialize(df: DataFrame, path: str, day: str, columns: Sequence[str] = (),
                 day_column: str = "target_date") -> DataFrame:
     """Write a day and read it back: later steps start from files, whatever executor is lost."""
     write_day(df, path, day, columns, day_column)
-    spark = df.sparkSession
-    return (spark.read.schema(_with_partitions(df, day_column)).parquet(path)
-            .filter(F.col(day_column) == day).drop(day_column))
-
-
-def _with_partitions(df: DataFrame, day_column: str):
-    return df.withColumn(day_column, F.lit("")).schema
+    # the day's own folder: no other day is listed, however many there are
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path.rstrip('/')}/{day_column}={day}")
 
 
 def write_messages(messages: DataFrame, path: str) -> int:
@@ -80,11 +76,13 @@ def create_table_as(df: DataFrame, table: str, path: str, fmt: str = "parquet")
     df.write.mode("overwrite").format(fmt).option("path", path).saveAsTable(table)
 
 
-def register(spark: SparkSession, table: str, path: str, partitions: Sequence[str],
-             fmt: str = "parquet") -> None:
-    """Make a partitioned folder queryable by name and pick up partitions added since."""
+def register(spark: SparkSession, table: str, path: str, schema: StructType,
+             partitions: Sequence[str], fmt: str = "parquet") -> None:
+    """Make a partitioned folder queryable by name and pick up partitions added since.
+
+    ``schema`` is that of the rows; no file is opened to find it.
+    """
     if not spark.catalog.tableExists(table):
-        schema = spark.read.format(fmt).option("mergeSchema", "true").load(path).schema
         plain = [f for f in schema.fields if f.name not in partitions]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain)
         parts = ", ".join(f"`{p}` string" for p in partitions)

@@ -164,18 +164,22 @@ def listing_rows(spark, data):
 
 def test_messages_are_ordered_complete_and_bounded(spark):
     df = listing_rows(spark, [("u", f"l{i}", i, "V1") for i in (3, 1, 2, 5, 4)] + [("w", "l1", 1, None)])
-    whole = msg.assemble(df)
-    assert whole.count() == 1
+    whole = msg.assemble(df, PUSH_FIELDS, None)
+    assert [(r["part"], r["parts"]) for r in whole.collect()] == [(0, 1)]
     assert [r["seq_id"] for r in whole.first()["recommendations"]] == [1, 2, 3, 4, 5]
     assert list(whole.first()["recommendations"][0].asDict()) == list(PUSH_FIELDS)
     parts = {r["part"]: [x["seq_id"] for x in r["recommendations"]]
              for r in msg.assemble(df, PUSH_FIELDS, 2).collect()}
     assert parts == {0: [1, 2], 1: [3, 4], 2: [5]}
+    # places repeat per state and may be missing: the user's own rows are counted, not the places
+    odd = listing_rows(spark, [("u", f"l{i}", None if i < 3 else 1, "V1") for i in range(6)])
+    sizes = {(r["part"], r["parts"]): len(r["recommendations"]) for r in msg.assemble(odd, PUSH_FIELDS, 4).collect()}
+    assert sizes == {(0, 2): 4, (1, 2): 2}
 
 
 def test_envelope_routes_by_length_and_shows_the_other_id_as_null(spark):
     df = listing_rows(spark, [("m" * 24, "l1", 1, "V1"), ("v" * 25, "l1", 1, "V1")])
-    sent = msg.envelope(msg.assemble(df, msg.message_fields("new_listings_email")),
+    sent = msg.envelope(msg.assemble(df, msg.message_fields("new_listings_email"), None),
                         "new_listings_email", "id", "name")
     bodies = {r["user_id"][0]: json.loads(r["body"]) for r in sent.collect()}
     assert bodies["m"]["payload"]["recipients"] == [{"memberId": "m" * 24, "visitorId": None}]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from nestline.functions import cuts
 from nestline.operators import keyed, skew, snapshot
+from nestline.sources.scratch import written
 from tests.helpers import plan, rows
 
 
@@ -40,13 +41,25 @@ def random_scores(seed, n=3000):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_sliced_ranking_equals_plain_ranking(spark, seed):
+def test_dealt_ranking_equals_plain_ranking(spark, seed):
     df = spark.createDataFrame(random_scores(seed), "k string, id int, s double")
-    hot = keyed.score_slices(df, ["k"], "s", max_rows=500, slices=8)
-    assert rows(hot, "k") == [("hot",)]
     plain = keyed.rank_within_key(df, ["k"], "s", ["id"])
-    sliced = keyed.rank_within_key(df, ["k"], "s", ["id"], hot=hot, slices=8)
-    assert rows(plain, "k", "id", "s", "seq_id") == rows(sliced, "k", "id", "s", "seq_id")
+    dealt = written(keyed.deal_by_rank(df, ["k"], "s", ["id"]), "dealt")
+    spread = keyed.rank_dealt(dealt, ["k"], "s", ["id"])
+    assert rows(plain, "k", "id", "s", "seq_id") == rows(spread, "k", "id", "s", "seq_id")
+
+
+def test_equal_and_missing_scores_of_one_key_are_spread(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(8000).selectExpr("'one' AS k", "id", "if(id < 4000, 1.0D, NULL) AS s")
+        dealt = written(keyed.deal_by_rank(df, ["k"], "s", ["id"]), "dealt")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["count"] for r in dealt.groupBy("_part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 4000
+    ranked = keyed.rank_dealt(dealt, ["k"], "s", ["id"])
+    assert ranked.where("seq_id != id + 1").isEmpty() and ranked.count() == 8000
 
 
 @pytest.mark.parametrize("rising", [True, False])
@@ -117,6 +130,8 @@ def test_cuts_below_by_halving(spark):
         cuts.quantiles(6)
 
 
-def test_row_limit_bounds_the_number_of_hot_keys(spark):
-    df = spark.range(3 * skew.MAX_HOT_KEYS)
-    assert skew.row_limit(df, 2) == 3 and skew.row_limit(df, 100) == 100
+def test_the_same_key_is_split_in_a_table_of_any_size(spark):
+    hot = spark.range(300).selectExpr("'hot' AS k", "id")
+    rest = spark.range(60_000).selectExpr("cast(id AS string) AS k", "id")
+    for df in (hot, hot.union(rest)):
+        assert rows(skew.hot_keys(df, ["k"], 100)) == [("hot", 3)]

@@ -20,11 +20,11 @@ ALLOCATION = (("V1", 4000), ("V2", 4000), ("C", 2000))
 def day(spark, tmp_path_factory):
     """One day of both campaigns; limits are so low that every split path is used."""
     sf, root = "/root/testdata/sf0.001", tmp_path_factory.mktemp("day")
-    history, events = v.listing_history(spark, sf), v.biz_events(spark, sf)
+    history, events = v.listing_history(spark, sf), q._day(spark, sf)["events"]
     profiles = v.profiles(spark, sf)
     nl, rh = Store(f"{root}/nl", v.RUN_DATE), Store(f"{root}/rh", v.RUN_DATE)
     config = replace(v.NL, listing_age_days=180)
-    limits = daily.Skew(users_per_zip=5, listings_per_zip=3, rows_per_listing=5, rows_per_user=10)
+    limits = daily.Skew(users_per_zip=5, listings_per_zip=3, rows_per_listing=5)
 
     def score(features):
         return F.coalesce(F.nanvl("price_ratio_cal_price_t90", F.lit(0.0)), F.lit(0.0)) * 100
@@ -78,7 +78,7 @@ def test_channels_and_delivery(day, tmp_path):
         v.search_profiles(spark, sf).filter("member_id = '3'"),
         partial(exp.bucket_all, experiment="AB", allocation=ALLOCATION), "V2")
     assert {r[0] for r in sent.select("variation").distinct().collect()} == {"V2"}
-    n = daily.deliver(web, sent, "new_listings", "id", "name")
+    n = daily.deliver(web, sent, "new_listings", "id", "name", None)
     assert n == sent.select("user_id").distinct().count() > 0
     body = json.loads(spark.read.text(web.path("messages_new_listings")).first()["value"])
     ranks = [r["seq_id"] for r in body["payload"]["content"]["recommendations"]]
@@ -95,7 +95,7 @@ def test_channels_and_delivery(day, tmp_path):
     mail = Store(str(tmp_path / "mail"), v.EVENTS_END)
     mailable = daily.email_users(mail, v.email_sent(spark, sf), ["signup"])
     letters = daily.email_bucketing(mail, homes, mailable, "V1", "mail-v1")
-    assert daily.deliver(mail, letters, "recommended_homes_email", "i", "n") == \
+    assert daily.deliver(mail, letters, "recommended_homes_email", "i", "n", None) == \
         letters.select("user_id").distinct().count()
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from nestline.config import NEW_LISTINGS
 from nestline.operators import listings as lst, profile as prof
+from nestline.operators import snapshot
 from tests.helpers import rows
 
 PROFILE = ("user_id string, zip_stats array<struct<category_name: string, score: string>>, "
@@ -169,3 +170,9 @@ def test_campaigns_differ_only_in_parameters():
     assert NEW_LISTINGS.top_zips == 3 and NEW_LISTINGS.user_groups == 50
     assert replace(NEW_LISTINGS, top_zips=5).std_factor == 1.5
     assert len(NEW_LISTINGS.states) == 54 and len(NEW_LISTINGS.listing_types) == 10
+
+
+def test_daily_windows_are_exact(spark):
+    days = spark.createDataFrame([(d,) for d in ("20200502", "20200503", "20200527", "20200531", "20200601", "20200602", None)], "d string")
+    assert rows(snapshot.within_days(days, "d", "20200601", 30)) == [("20200503",), ("20200527",), ("20200531",), ("20200601",)]
+    assert rows(snapshot.within_days(days, "d", "20200601", 5, end_inclusive=False)) == [("20200527",), ("20200531",)]
