@@ -14,7 +14,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nestline.llm.buffers import prepare
+from nestline.llm.buffers import give_back, prepare
 
 PROBES = 5
 SEGMENT_BITS = 1 << 19
@@ -89,6 +89,7 @@ def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: i
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at], pa.int32()), pa.array([lane], pa.int32()), pa.array([data], pa.binary()),
                  pa.array([more.get(at)], pa.binary())], names=["segment", "lane", "once", "twice"])
+        give_back()
 
     merged = (df.mapInArrow(parts, fields).groupBy("segment", "lane").applyInPandas(_merge, fields)
               .groupBy("segment").applyInPandas(_merge, fields))

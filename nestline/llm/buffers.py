@@ -7,6 +7,7 @@ characters beyond ASCII are 0x80 or more, so words can be cut on bytes.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -139,6 +140,14 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set(setting, min(BATCH_ROWS, rows) if rows > 0 else BATCH_ROWS)
 
 
+def give_back() -> None:
+    """Returns the memory that a task has freed to the machine, as its worker waits for the next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def with_results(df: DataFrame, text: str, keep: list[str], result: str, fields: StructType,
                  work: Callable[[], Callable[[pa.Array], list]]) -> DataFrame:
     """The columns `keep` of df and a struct `result`, made from each row's text in Arrow batches.
@@ -157,5 +166,6 @@ def with_results(df: DataFrame, text: str, keep: list[str], result: str, fields:
             arrays = of(batch.column(batch.num_columns - 1))
             struct = pa.StructArray.from_arrays(arrays, names=fields.names)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], struct], names=[*keep, result])
+        give_back()
 
     return carried.mapInArrow(run, schema)
