@@ -15,10 +15,15 @@ from nestline.config import CampaignConfig
 from nestline.operators import (candidates as cand, channels, eligibility as elig,
                                 experiment as exp, keyed, listings as lst, messages as msg,
                                 metrics, profile as prof, quality as dq, scoring, skew, snapshot)
+from nestline.operators.eligibility import day_before
 from nestline.plans.store import Store
 from nestline.sources import writers
 
 
+# how far back the day is looked for that a day is compared with
+DRIFT_DAYS = 10
+
+
 @dataclass(frozen=True)
 class Skew:
     """Rows from which on a key is split, whatever the size of its table."""
@@ -181,7 +186,12 @@ def validate(store: Store, listings: DataFrame, users: DataFrame, candidates: Da
              ranked: DataFrame, max_age_days: int, previous_day: str | None = None,
              upstream: DataFrame | None = None, score: str | None = "match_score",
              source: DataFrame | None = None) -> DataFrame:
-    """All checks of a campaign day as one report; every failure is in it, none stops it."""
+    """All checks of a campaign day as one report; every failure is in it, none stops it.
+
+    Drift is measured against ``previous_day``, or for each table against its newest day in the
+    ``DRIFT_DAYS`` days before; a table without one has no such check. To check the newest day that
+    is loaded, pass ``store.at_newest(...)``.
+    """
     run = F.to_date(F.lit(store.day), "yyyyMMdd")
     slot = ["user_id", "listing_id"] if upstream is None else ["user_id", "listing_id", "state"]
     details = dq.is_empty("ldp_url", "listing_photo_url") | dq.is_zero(
@@ -224,13 +234,14 @@ def validate(store: Store, listings: DataFrame, users: DataFrame, candidates: Da
         checks["upstream"] = dq.dq_rate(upstream, "user_id", {
             "fields": dq.is_empty("user_id", "listing_id", "state") | F.col("row_id").isNull()},
             {"fields": 100.0})
-    if previous_day is not None:
-        for name, key in (("users", "user_id"), ("candidates", "user_id"),
-                          ("listings", "listing_id"), ("candidates_ranked", "listing_id")):
-            days = store.days(listings.sparkSession, name, [previous_day, store.day]).withColumn(
+    spark = listings.sparkSession
+    for name, key in (("users", "user_id"), ("candidates", "user_id"),
+                      ("listings", "listing_id"), ("candidates_ranked", "listing_id")):
+        before = previous_day or store.newest_day(spark, name, day_before(store.day, 1), DRIFT_DAYS - 1)
+        if before is not None:
+            days = store.days(spark, name, [before, store.day]).withColumn(
                 "target_date", F.col("target_date").cast("string"))
-            checks[f"drift_{name}"] = dq.dq_drift(days, "target_date", key, store.day,
-                                                  previous_day)
+            checks[f"drift_{name}"] = dq.dq_drift(days, "target_date", key, store.day, before)
     for_sale = {"for_sale": F.col("listing_status") == "for sale"}
     volumes = {f"{name}_{key}": dq.dq_counts(df, key, conditions)
                for name, df in (("listings", listings), ("candidates", candidates),

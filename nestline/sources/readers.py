@@ -6,7 +6,7 @@ simply is not there.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,12 +27,17 @@ def last_days(end: str, days: int) -> list[str]:
     return [(last - timedelta(days=n)).strftime("%Y%m%d") for n in range(days - 1, -1, -1)]
 
 
+def existing(spark: SparkSession, base: str, folders: Iterable[str]) -> Iterator[str]:
+    """Those of the folders below ``base`` that are there, asked for one by one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+    return (name for name in folders if files.exists(path(f"{base.rstrip('/')}/{name}")))
+
+
 def read_folders(spark: SparkSession, base: str, folders: Sequence[str],
                  schema: str | None = None, fmt: str = "parquet") -> DataFrame:
     """The rows of those partition folders of a table that exist, with the partition columns."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(base).getFileSystem(spark._jsc.hadoopConfiguration())
-    there = [f for f in (f"{base.rstrip('/')}/{name}" for name in folders) if files.exists(path(f))]
+    there = [f"{base.rstrip('/')}/{name}" for name in existing(spark, base, folders)]
     if not there:
         return read_table(spark, base, fmt, schema).limit(0)
     reader = spark.read.format(fmt).option("basePath", base)

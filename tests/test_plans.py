@@ -117,6 +117,20 @@ def test_metrics_and_validation(day, tmp_path):
     assert verdict["upstream_order"] and verdict["source_order"] and "rank_order" not in verdict
 
 
+def test_loaded_days_are_found(spark, tmp_path):
+    store = Store(str(tmp_path), "20200610")
+    for day in ("20200401", "20200530", "20200601"):
+        replace(store, day=day).save("users", spark.createDataFrame([(day,)], "user_id string"))
+    assert store.newest_day(spark, "users", "20200610", 60) == "20200601"
+    assert store.newest_day(spark, "users", "20200531", 10) == "20200530"
+    assert store.newest_day(spark, "users", "20200520", 10) is None
+    assert store.at_newest(spark, "users", 14).day == "20200601"
+    with pytest.raises(ValueError):
+        store.at_newest(spark, "users", 5)
+    both = store.days(spark, "users", ["20200530", "20200601", "20200602"])
+    assert rows(both.select("user_id")) == [("20200530",), ("20200601",)]
+
+
 # ------------------------------------------------------------------ physical plans
 
 @pytest.mark.parametrize("name", sorted(set(q.QUERIES) - {
