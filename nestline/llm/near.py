@@ -6,9 +6,10 @@ speak for shared content in equal order. Texts that share a sketch are candidate
 the shingles decides.
 
 Equal word sequences are one class from the start. A sketch's bucket of up to `SMALL` classes is
-compared pair by pair. A larger bucket is compared with its first and its last class and cut by the
-next sketch, then by the one after that; so the pairs stay in proportion to the texts however many
-share a passage or are copies of each other.
+compared pair by pair. A larger bucket is first compared with its first and its last class and cut by the
+next sketch, then by the one after that, which links most of what belongs together by few pairs. Where a
+large bucket then still holds classes that are not connected, all its pairs of unconnected classes are
+compared, in blocks of `BLOCK`; so each two similar texts that share a sketch end in one class.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from nestline.llm.buffers import STEP, free_name, mix, slices, with_results, wor
 from nestline.llm.graph import components
 from nestline.sources.scratch import written
 
-SHINGLE, SKETCHES, SMALL, LEVELS = 5, 16, 8, 3
+SHINGLE, SKETCHES, SMALL, LEVELS, BLOCK = 5, 16, 8, 3, 512
 SEEDS = np.random.default_rng(77).integers(1, 1 << 63, (2, SKETCHES), dtype=np.uint64) | np.uint64(1)
 SKETCH = StructType([StructField("one", LongType()), StructField("two", LongType()),
                      StructField("sketch", ArrayType(LongType()))])
@@ -144,23 +145,82 @@ def aligned(a: np.ndarray, b: np.ndarray) -> int:
     return len(tails)
 
 
+def linked(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the aligned shingles of two texts are 0.8 or more of all shingles of the two."""
+    total = len(a) + len(b)
+    return 4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)) and 9 * aligned(a, b) >= 4 * total > 0
+
+
 def similar(batches):
     """The (a, b) of pairs whose aligned shingles are 0.8 or more of all shingles of the two."""
     for batch in batches:
         keep = []
         for a, b in zip(batch.column(2), batch.column(3)):
-            a, b = np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)
-            total = len(a) + len(b)
-            keep.append(4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)) and 9 * aligned(a, b) >= 4 * total > 0)
+            keep.append(linked(np.frombuffer(a.as_buffer(), np.uint32), np.frombuffer(b.as_buffer(), np.uint32)))
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Different pairs a < b of (rep, sketch) rows that share a bucket."""
+def unconnected(key: tuple, table: pa.Table) -> pa.Table:
+    """The links (a, b) that connect members of two blocks of a bucket, or of one: each pair that neither has
+    one part nor is connected by the links before it is compared, in the bucket of its first equal sketch."""
+    table = table.sort_by([("rep", "ascending"), ("block", "ascending")])
+    rep, part, block = (table.column(c).to_numpy() for c in ("rep", "part", "block"))
+    sketch = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCHES)
+    shape = [np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("shape")]
+    counts = np.array([len(x) for x in shape])
+    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    names, place = np.unique(np.concatenate(shape), return_inverse=True)
+    held = np.zeros(len(names), bool)
+    at, crossing = int(table.column("i")[0].as_py()), key[1] != key[2]
+    part, found = part.copy(), []
+    for k in range(len(rep) - 1):
+        rest = slice(k + 1, None)
+        other = part[rest] != part[k]
+        if crossing:
+            other &= block[rest] != block[k]
+        other &= 4 * np.maximum(counts[rest], counts[k]) <= 5 * np.minimum(counts[rest], counts[k])
+        if not other.any():
+            continue
+        equal = sketch[rest] == sketch[k]
+        other &= (equal.argmax(1) == at) & equal[:, at]
+        if not other.any():
+            continue
+        own = place[starts[k]:starts[k] + counts[k]]
+        held[own] = True
+        common = np.add.reduceat(held[place[starts[k + 1]:]], starts[rest] - starts[k + 1], dtype=np.int64)
+        held[own] = False
+        other &= 9 * common >= 4 * (counts[rest] + counts[k])
+        for j in (np.flatnonzero(other) + k + 1).tolist():
+            if part[j] != part[k] and linked(shape[k], shape[j]):
+                found.append((rep[k], rep[j]))
+                part[part == part[j]] = part[k]
+    a, b = np.array(found, np.int64).reshape(-1, 2).T
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def remaining(large: DataFrame, labels: DataFrame, classes: DataFrame, shaped: DataFrame) -> DataFrame:
+    """The links (a, b) between parts that large buckets (key, i, n, rep) still hold after the components `labels`.
+
+    A bucket of one part is done. The members of others are dealt into blocks by their hash, and each two blocks
+    meet in one group of BLOCK texts or so from each."""
+    parts = labels.select(F.col("node").alias("rep"), F.col("label").alias("part"))
+    members = written(large.join(parts, "rep", "left").withColumn("part", F.coalesce("part", "rep")), "members")
+    keys = members.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    rows = (members.join(keys, "key").join(classes.select("rep", "sketch"), "rep").join(shaped.withColumnRenamed("doc_id", "rep"), "rep")
+            .withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))))
+    return (rows.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                        "i", "rep", "part", "block", "sketch", "shape")
+            .groupBy("key", "low", "high").applyInArrow(unconnected, "a long, b long"))
+
+
+def candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Different pairs a < b of (rep, sketch) rows that share a bucket, and the members (key, i, n, rep) of the
+    large buckets of one sketch, whose pairs are not all among them."""
     keys = [F.xxhash64(F.lit(level), "i", *[F.element_at("sketch", (F.col("i") + k) % SKETCHES + 1) for k in range(level)])
             .alias(f"key{level}") for level in range(1, LEVELS + 1)]
     rows = classes.where(F.size("sketch") > 0).select("rep", "sketch", F.explode(F.sequence(F.lit(0), F.lit(SKETCHES - 1))).alias("i"))
-    rows = rows.select("rep", *keys)
+    rows = rows.select("rep", "i", *keys)
     found = []
     for level in range(1, LEVELS + 1):
         key = f"key{level}"
@@ -172,13 +232,15 @@ def candidates(classes: DataFrame) -> DataFrame:
             F.slice("m", i + 2, F.size("m")), lambda y: F.struct(x.alias("a"), y.alias("b")))))
         found.append(members.select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
         rows = shared.where(F.col("n") > SMALL)
+        if level == 1:
+            large = rows.select(F.col(key).alias("key"), "i", "n", "rep")
         found.append(rows.select(F.col("first").alias("a"), F.col("rep").alias("b")))
         found.append(rows.select(F.col("rep").alias("a"), F.col("last").alias("b")))
         rows = rows.drop(key, "n", "first", "last")
     every = found[0]
     for more in found[1:]:
         every = every.union(more)
-    return written(every.where("a < b").distinct(), "pairs")
+    return written(every.where("a < b").distinct(), "pairs"), large
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -196,7 +258,7 @@ def near_copies(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Dat
     base = written(with_results(body, "text", ["doc_id"], "s", SKETCH, lambda: sketch_rows).select("doc_id", "s.*"), "sketches")
     classes = written(base.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.min_by("sketch", "doc_id").alias("sketch")),
                       "classes")
-    pairs = candidates(classes)
+    pairs, large = candidates(classes)
     wanted = bloom.of_longs(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", 2 * pairs.count())
     shaped = written(with_results(body.where(wanted(F.col("doc_id"))), "text", ["doc_id"], "s", SHAPE, lambda: shapes)
                      .select("doc_id", "s.shape"), "shapes")
@@ -205,6 +267,10 @@ def near_copies(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> Dat
             .select("a", "b", "left", "right"))
     links = written(both.mapInArrow(similar, "a long, b long").distinct(), "links")
     labels = components(links)
+    more = written(remaining(large, labels, classes, shaped), "links")
+    if not more.isEmpty():
+        links = written(links.union(more).distinct(), "links")
+        labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     known = written(classes.select("one", "two", "rep").join(labels.join(degree, "node"), F.col("rep") == F.col("node"), "left")
                     .select("one", "two", F.coalesce("label", "rep").alias("class_id"),

@@ -89,6 +89,54 @@ def test_hot_group_of_different_texts(spark):
     assert {r.class_id for r in found} == {0} and len(found) == 300
 
 
+def test_hub_between_variants_that_are_not_similar(spark):
+    chosen = random.Random(31)
+    base = ["w%d" % chosen.randrange(9000) for _ in range(400)]
+    rows = [(300, " ".join(base))]
+    for i in (*range(300), *range(301, 601)):  # each 0.85 similar to the base, about 0.73 to each other
+        words = list(base)
+        for place in chosen.sample(range(0, 395, 5), 7):
+            words[place] = f"z{i}"
+        rows.append((i, " ".join(words)))
+    found = near.near_copies(documents(spark, rows)).collect()
+    classes, links = brute_by_sets(dict(rows))
+    assert {r.doc_id: r.class_id for r in found} == classes and set(classes.values()) == {0}
+    assert all(1 <= r.n_links <= links[r.doc_id] for r in found)
+
+
+def brute_by_sets(texts):
+    """Class of every id and its number of links, for texts that keep the order of one base."""
+    shape = {i: set(shingled(t)[1]) for i, t in texts.items()}
+    label, links, ids = {i: i for i in texts}, dict.fromkeys(texts, 0), sorted(texts)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1:]:
+            if 9 * len(shape[i] & shape[j]) >= 4 * (len(shape[i]) + len(shape[j])):
+                links[i] += 1
+                links[j] += 1
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                if old != new:
+                    label = {k: new if v == old else v for k, v in label.items()}
+    return label, links
+
+
+def test_links_of_small_groups_are_those_of_all_pairs(spark):
+    chosen = random.Random(13)
+    rows = []
+    for group in range(40):
+        words = ["w%d" % chosen.randrange(4000) for _ in range(200)]
+        for _ in range(group % 7 + 1):
+            words = list(words)
+            words[chosen.randrange(200)] = f"z{len(rows)}"
+            rows.append((len(rows), " ".join(words)))
+    _, links = brute_by_sets(dict(rows))
+    assert {r.doc_id: r.n_links for r in near.near_copies(documents(spark, rows)).collect()} == links
+
+
+def test_blocks_of_a_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 64)
+    test_hub_between_variants_that_are_not_similar(spark)
+
+
 def test_ids_that_are_null_or_repeated_and_no_rows(spark):
     a, b = " ".join(map(str, range(50))), " ".join(map(str, range(100, 150)))
     docs = documents(spark, [(3, a), (3, b), (5, b), (1, a), (1, a), (None, a), (7, "other words are here now")])
