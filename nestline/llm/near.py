@@ -1,7 +1,7 @@
 """Near copies by order MinHash.
 
-A text is the sequence of its five-word shingles, each labelled with how often it has occurred before.
-A sketch takes the two labelled shingles of least hash and keeps them in text order, so equal sketches
+A text is the sequence of its different five-word shingles in order of first occurrence.
+A sketch takes the two shingles of least hash and keeps them in text order, so equal sketches
 speak for shared content in equal order. Texts that share a sketch are candidates; banded alignment of
 the shingles decides.
 
@@ -58,10 +58,10 @@ def labelled_shingles(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple
     return out, begin, before
 
 
-def row_sketches(shingle: np.ndarray, begin: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """SKETCHES values for each row that has shingles (begin holds such rows only)."""
+def row_sketches(shingle: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """SKETCHES values for each row that has shingles (begin holds such rows only), each shingle once in its row."""
     counts = np.diff(begin)
-    value = mix(shingle + before.astype(np.uint64) * STEP)
+    value = mix(shingle)
     starts = begin[:-1]
     out = np.empty((len(starts), SKETCHES), np.uint64)
     most = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -98,7 +98,9 @@ def sketch_rows(texts: pa.Array) -> list[pa.Array]:
             one[filled] = mix(np.add.reduceat(hashes * power[inside], first[:-1][filled]) + lengths)
             two[filled] = mix(np.add.reduceat(mix(hashes) * power[inside] * power[inside], first[:-1][filled]) + lengths)
             shingle, begin, before = labelled_shingles(hashes, first, SHINGLE)
-            values = row_sketches(shingle, np.append(begin[:-1][filled], begin[-1]), before).view(np.int64)
+            once = before == 0
+            own = np.add.reduceat(once, begin[:-1][filled], dtype=np.int64)
+            values = row_sketches(shingle[once], np.concatenate(([0], np.cumsum(own)))).view(np.int64)
         rows: list = [[]] * len(counts)
         for k, row in enumerate(filled.tolist()):
             rows[row] = values[k]

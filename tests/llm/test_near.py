@@ -137,6 +137,16 @@ def test_blocks_of_a_bucket_meet(spark, monkeypatch):
     test_hub_between_variants_that_are_not_similar(spark)
 
 
+def test_unequal_repeats_of_a_line(spark):
+    chosen = random.Random(3)
+    rows = []
+    for n in range(0, 20, 2):  # equal different shingles, one line repeated 2000 times and 3 times
+        prose, line = (" ".join("w%d" % chosen.randrange(5000) for _ in range(k)) for k in (100, 6))
+        rows += [(n, prose + f" {line}" * 2000), (n + 1, prose + f" {line}" * 3)]
+    found = near.near_copies(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.class_id, r.n_links) for r in found} == {(i, i - i % 2, 1) for i, _ in rows}
+
+
 def test_ids_that_are_null_or_repeated_and_no_rows(spark):
     a, b = " ".join(map(str, range(50))), " ".join(map(str, range(100, 150)))
     docs = documents(spark, [(3, a), (3, b), (5, b), (1, a), (1, a), (None, a), (7, "other words are here now")])
