@@ -1,7 +1,7 @@
 """Personal data: stated kinds by pattern, further identifiers by bootstrapped contexts.
 
 The stated kinds are found in each whole text. They and long keys of letters and digits are the seeds.
-Every token with digits is an instance, the two words before it are its pattern. Patterns and instances
+Every found span and every longer token with digits is an instance, the two words before it are its pattern. Patterns and instances
 form a graph that is scored in rounds: a pattern by the share of its instances that are known, an
 instance by the patterns it stands in. Patterns of high score and enough known instances then mark all
 their instances, so identifiers that no rule describes are found where such data usually stand.
@@ -32,7 +32,7 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 INSTANCE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 EDGES = "!\"#$%&'()*,-./:;<=>?@[\\]^_`{|}~+"
-#: Context that is looked at, least length and digits of an instance, characters of a key.
+#: Context that is looked at, least length and digits of a token as an instance, characters of a key.
 CONTEXT_CHARS, MIN_LENGTH, MIN_DIGITS, KEY_LENGTH = 64, 6, 4, 16
 ROUNDS, ACCEPT, SUPPORT, TRUST = 3, 0.8, 3, 0.9
 #: Lengths that are summed before they are put behind those of earlier ones.
@@ -85,40 +85,55 @@ def found_at(text: Column, pattern: str) -> Column:
     return bound(parts, place)
 
 
+def context(matches: Column, k: Column) -> Column:
+    """Hash of the two words, or the one, before the token of match k, null if there is none; earlier matches are words too."""
+    tail = lambda x: F.substring(x, -CONTEXT_CHARS, CONTEXT_CHARS)
+    earlier = [F.coalesce(F.concat(tail(m["gap"]), tail(m["match"])), F.lit("")) for m in (F.get(matches, k - 2), F.get(matches, k - 1))]
+    text = F.lower(tail(F.concat(*earlier, tail(F.get(matches, k)["gap"]))))
+    edges = "".join(f"\\{c}" for c in EDGES)
+    return bound(F.regexp_extract(text, rf"((?:\S+\s+)?\S+)\s+[{edges}]*\z", 1),
+                 lambda before: F.when(F.length(before) > 0, F.xxhash64(F.regexp_replace(before, r"\s+", " "))))
+
+
 def spans_of(text: Column, kind: str) -> Column:
-    """Array of (kind, start, end) of the matches that hold."""
-    matches = F.filter(found_at(text, PATTERNS[kind]), lambda m: HOLDS[kind](m["match"]))
-    spans = F.transform(matches, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"),
-                                                    (m["start"] + F.length(m["match"])).alias("end")))
-    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint>>")
+    """Array of (kind, start, end, pattern, instance) of the matches that hold; each whole match is an instance."""
+    found = bound(found_at(text, PATTERNS[kind]), lambda matches: F.transform(matches, lambda m, k: F.when(
+        HOLDS[kind](m["match"]), F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), (m["start"] + F.length(m["match"])).alias("end"),
+                                          context(matches, k).alias("pattern"), F.xxhash64(m["match"]).alias("instance")))))
+    spans = F.filter(found, lambda s: s.isNotNull())
+    empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,pattern:bigint,instance:bigint>>")
     return spans if NEEDS[kind] is None else F.when(F.contains(text, F.lit(NEEDS[kind])), spans).otherwise(empty)
 
 
 def instances_of(text: Column) -> Column:
     """Array of (start, end, pattern, instance, key): tokens with digits, without punctuation around them."""
-    def token(m):
+    def token(matches, m, k):
         def cut(core):
             lead = F.length(m["match"]) - F.length(F.ltrim(m["match"], F.lit(EDGES)))
-            before = F.regexp_extract(F.lower(F.substring(m["gap"], -CONTEXT_CHARS, CONTEXT_CHARS)), r"((?:\S+\s+)?\S+)\s+\z", 1)
             return F.struct((m["start"] + lead).alias("start"), (m["start"] + lead + F.length(core)).alias("end"),
-                            F.when(F.length(before) > 0, F.xxhash64(F.regexp_replace(before, r"\s+", " "))).alias("pattern"),
+                            context(matches, k).alias("pattern"),
                             F.xxhash64(core).alias("instance"),
                             (core.rlike(f"^[A-Za-z0-9]{{{KEY_LENGTH},}}+$") & core.rlike("[A-Za-z]")).alias("key"),
                             (F.length(core) >= MIN_LENGTH).alias("long"), (digits(core) >= MIN_DIGITS).alias("numbered"))
         return bound(F.trim(m["match"], F.lit(EDGES)), cut)
 
-    return F.filter(F.transform(found_at(text, INSTANCE), token), lambda i: i["pattern"].isNotNull() & i["long"] & i["numbered"])
+    tokens = bound(found_at(text, INSTANCE), lambda matches: F.transform(matches, lambda m, k: token(matches, m, k)))
+    return F.filter(tokens, lambda i: i["pattern"].isNotNull() & i["long"] & i["numbered"])
 
 
 def scanned(docs: DataFrame, text: str, doc: str) -> DataFrame:
-    """(doc_id, text_hash, base, instances) of every row, written once."""
+    """(doc_id, text_hash, base, instances) of every row, written once. Instances are the base spans and the tokens."""
     body = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     overlaps = lambda i, base: F.exists(base, lambda b: (b["start"] < i["end"]) & (b["end"] > i["start"]))
     spans = F.struct(F.concat(*[spans_of(F.col("text"), kind) for kind in KINDS]).alias("base"), instances_of(F.col("text")).alias("all"))
-    row = bound(spans, lambda s: F.struct(s["base"].alias("base"), F.transform(s["all"], lambda i: bound(
+    whole = lambda base: F.transform(F.filter(base, lambda b: b["pattern"].isNotNull()), lambda b: F.struct(
+        b["start"].alias("start"), b["end"].alias("end"), b["pattern"].alias("pattern"), b["instance"].alias("instance"),
+        F.lit(True).alias("known"), F.lit(True).alias("seed")))
+    bare = lambda base: F.transform(base, lambda b: F.struct(b["kind"].alias("kind"), b["start"].alias("start"), b["end"].alias("end")))
+    row = bound(spans, lambda s: F.struct(bare(s["base"]).alias("base"), F.concat(whole(s["base"]), F.transform(s["all"], lambda i: bound(
         overlaps(i, s["base"]), lambda known: F.struct(i["start"].alias("start"), i["end"].alias("end"), i["pattern"].alias("pattern"),
                                                        i["instance"].alias("instance"), known.alias("known"),
-                                                       (known | i["key"]).alias("seed")))).alias("instances")))
+                                                       (known | i["key"]).alias("seed"))))).alias("instances")))
     return written(body.select("doc_id", F.xxhash64("text").alias("text_hash"), row.alias("s")).select("doc_id", "text_hash", "s.*"), "spans")
 
 

@@ -57,6 +57,21 @@ def test_hard_texts(spark):
     assert Counter(r.s for r in got) == Counter(",".join(brute(t)) for t in texts + [texts[1]] * 2)
 
 
+def test_plain_emails_and_spaced_phones_are_seeds(spark):
+    names = ["john", "mary", "ann", "peter", "olga"]
+    rows = [(i, f"please write to <{name}@example.com> today") for i, name in enumerate(names)]
+    rows += [(10 + i, f"or call phone +1 (499) 555-650{i} at noon") for i in range(5)]
+    rows += [(20 + i, f"paid with card: 4111 1111 1111 1111 by {name}") for i, name in enumerate(names)]
+    rows += [(30, "please write to QX-123456 today"), (31, "or call phone 555-65091 at noon"), (32, "in 2024 form 2b AB-123456 was sent")]
+    rows += [(40 + i, f"sent form 2b {name}@example.com in") for i, name in enumerate(names)]
+    found = {r.doc_id: r for r in pii.find(documents(spark, rows)).collect()}
+    text = dict(rows)
+    for i, new in ((30, "QX-123456"), (31, "555-65091"), (32, "AB-123456")):
+        begin = text[i].index(new)
+        assert [(s.start, s.end) for s in found[i].added] == [(begin, begin + len(new))]
+    assert all(found[i].added == [] for i in text if not 30 <= i < 40)
+
+
 def test_contexts_find_what_no_rule_describes(spark):
     rows = [(i, f'prose here and staff no: {"abcdef0123456789"[i % 5:]}{i}zz1234567890 more') for i in range(20)]
     rows += [(100, "some prose then staff no: QX-1234/9 and more"), (101, "year after year 2001-2002 and 123456789 things"), (102, None)]
