@@ -24,6 +24,8 @@ from nestline.llm.buffers import prepare
 LENGTH, PER_SHARD, KEY = 1024, 2048, 20240531
 #: With bytes as tokens: end of a text, and what fills its last sequence.
 END, FILL = 256, 257
+#: Type of the ids in a shard.
+NUMBER = "<u2"
 STRIDE = 2 * LENGTH
 #: Bytes of text that a split of the numbering holds at most on average, and the least number of splits as a power of 2.
 SPLIT_BYTES, LEAST_SPLIT_BITS = 16 << 20, 9
@@ -93,8 +95,15 @@ def slotted(docs: DataFrame, text: str = "text", doc: str = "doc_id", tokens: Ca
     return ordered.mapInArrow(number, "slot long, last boolean, piece binary")
 
 
-def packed(batches, dtype: np.dtype) -> Iterator[tuple[int, int, bytes]]:
-    """(shard, sequences, bytes) of rows (shard, slot, last, piece) that come in order of slot."""
+def checked(end: int, fill: int, number: str) -> None:
+    """Raises an error unless `end` and `fill` differ and `number`, the type of the ids in a shard, holds both."""
+    if end == fill or min(end, fill) < 0 or max(end, fill) > np.iinfo(number).max:
+        raise ValueError(f"end {end} and fill {fill} must differ and fit {np.dtype(number)}")
+
+
+def packed(batches, dtype: np.dtype, end: int = END, fill: int = FILL, number: str = NUMBER) -> Iterator[tuple[int, int, bytes]]:
+    """(shard, sequences, bytes) of rows (shard, slot, last, piece) that come in order of slot. Ids of `dtype` that
+    are not below `end` and `fill` are refused, so a reader can tell these from tokens."""
     shard, parts = None, []
     for batch in batches:
         for at, last, piece in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
@@ -102,11 +111,13 @@ def packed(batches, dtype: np.dtype) -> Iterator[tuple[int, int, bytes]]:
                 yield shard, len(parts), b"".join(parts)
                 parts = []
             shard = at
-            row = np.full(LENGTH, FILL, "<u2")
+            row = np.full(LENGTH, fill, number)
             ids = np.frombuffer(piece.as_buffer(), dtype)
+            if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < min(end, fill):
+                raise ValueError(f"token ids {ids.min()} to {ids.max()} must lie below end {end} and fill {fill}")
             row[:len(ids)] = ids
             if last:
-                row[len(ids)] = END
+                row[len(ids)] = end
             parts.append(row.tobytes())
     if parts:
         yield shard, len(parts), b"".join(parts)
@@ -117,10 +128,12 @@ def _by_shard(slots: DataFrame) -> DataFrame:
     return rows.repartition("shard").sortWithinPartitions("slot")
 
 
-def digests(slots: DataFrame, dtype=np.uint8) -> DataFrame:
+def digests(slots: DataFrame, dtype=np.uint8, end: int = END, fill: int = FILL, number: str = NUMBER) -> DataFrame:
     """(shard, first_slot, n_sequences, n_bytes, sha256) of the shards that `slotted` rows make."""
+    checked(end, fill, number)
+
     def run(batches):
-        for shard, n, data in packed(batches, dtype):
+        for shard, n, data in packed(batches, dtype, end, fill, number):
             yield pa.RecordBatch.from_arrays([pa.array([shard]), pa.array([shard * PER_SHARD]), pa.array([n]), pa.array([len(data)]),
                                               pa.array([hashlib.sha256(data).hexdigest()])],
                                              names=["shard", "first_slot", "n_sequences", "n_bytes", "sha256"])
@@ -131,13 +144,15 @@ def name_of(shard: int) -> str:
     return f"shard-{shard:010d}.bin"
 
 
-def write(slots: DataFrame, uri: str, dtype=np.uint8) -> DataFrame:
+def write(slots: DataFrame, uri: str, dtype=np.uint8, end: int = END, fill: int = FILL, number: str = NUMBER) -> DataFrame:
     """Writes the shards as files below `uri`, a folder that all executors share, and returns (shard, n_sequences)
     of what was written. A file gets its name when it is whole, so a repeated task replaces like by like."""
+    checked(end, fill, number)
+
     def run(batches):
         store, folder = fs.FileSystem.from_uri(uri)
         store.create_dir(folder)
-        for shard, n, data in packed(batches, dtype):
+        for shard, n, data in packed(batches, dtype, end, fill, number):
             part = f"{folder}/.{name_of(shard)}.{hashlib.sha256(data).hexdigest()}"
             with store.open_output_stream(part) as out:
                 out.write(data)
@@ -148,13 +163,14 @@ def write(slots: DataFrame, uri: str, dtype=np.uint8) -> DataFrame:
     return done.sparkSession.createDataFrame(rows)
 
 
-def read(uri: str, slot: int = 0) -> Iterator[np.ndarray]:
+def read(uri: str, slot: int = 0, number: str = NUMBER) -> Iterator[np.ndarray]:
     """The sequences from a slot on, in order; to resume, start from the slot after the last one read."""
+    stride = LENGTH * np.dtype(number).itemsize
     store, folder = fs.FileSystem.from_uri(uri)
     shard, skip = divmod(slot, PER_SHARD)
     while store.get_file_info(f"{folder}/{name_of(shard)}").type == fs.FileType.File:
         with store.open_input_file(f"{folder}/{name_of(shard)}") as data:
-            data.seek(skip * STRIDE)
-            while len(row := data.read(STRIDE)) == STRIDE:
-                yield np.frombuffer(row, "<u2")
+            data.seek(skip * stride)
+            while len(row := data.read(stride)) == stride:
+                yield np.frombuffer(row, number)
         shard, skip = shard + 1, 0

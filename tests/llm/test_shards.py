@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nestline.llm import queries, shards
 from tests.llm.helpers import documents
@@ -63,3 +64,26 @@ def test_files_and_resumed_reading(spark, tmp_path, monkeypatch):
     for slot in (1, 2047, 2048, len(want) - 1, len(want)):
         assert [r.tobytes() for r in shards.read(uri, slot)] == whole[slot:]
     assert shards.digests(shards.slotted(docs.limit(0))).count() == 0
+
+
+def code_points(text):
+    return np.array([ord(c) for c in text], np.uint32)
+
+
+def test_ids_beyond_two_bytes_and_above_end(spark, tmp_path):
+    texts = ["🙂é" * 700, "", "\u0100\u0101 ids that bytes use as end and fill"]
+    docs = documents(spark, list(enumerate(texts)))
+    slots = shards.slotted(docs, tokens=code_points, count=F.length)
+    end, fill, uri = 0x110000, 0x110001, f"file://{tmp_path}/wide"
+    shards.write(slots, uri, np.uint32, end, fill, "<u4").collect()
+    got = sorted(row.tolist() for row in shards.read(uri, number="<u4"))
+    want = []
+    for text in texts:
+        ids = [*map(ord, text), end]
+        ids += [fill] * (-len(ids) % shards.LENGTH)
+        want += [ids[a:a + shards.LENGTH] for a in range(0, len(ids), shards.LENGTH)]
+    assert got == sorted(want) and list(shards.read(uri, 2, "<u4"))[0].shape == (shards.LENGTH,)
+    with pytest.raises(ValueError):
+        shards.digests(slots, np.uint32, end, fill)
+    with pytest.raises(Exception, match="must lie below end"):
+        shards.digests(slots, np.uint32).collect()
