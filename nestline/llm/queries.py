@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nestline.llm import bpe, contamination, language, licenses, lines, near, pii, quality, shards, topk
+from nestline.llm import bpe, contamination, language, licenses, lines, near, negatives, pii, quality, ranking, sharding, shards, topk
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -181,3 +181,104 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_training_order_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shards of all documents in training order, bytes as tokens."""
     return shards.digests(shards.slotted(table(spark, sf_dir, "documents")))
+
+
+#: Shards of the query.
+SHARDS = 16
+
+
+@query
+def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard and slot of every document, and its shard when one more is added."""
+    return sharding.assign(table(spark, sf_dir, "documents"), sharding.layout(SHARDS), sharding.layout(SHARDS + 1))
+
+
+def crc32_entry(byte: int) -> int:
+    """The remainder that CRC-32, polynomial EDB88320 in reverse bit order, has for one byte."""
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+    return byte
+
+
+def draws_sql(nodes: str) -> str:
+    """The path with the smallest draw of `nodes`, a table of (key, parent, path, weight), for each key and parent."""
+    u = f"(('0x' || substr(md5(key || path), 1, {sharding.DIGITS}))::BIGINT + 0.5) / {16 ** sharding.DIGITS}::DOUBLE"
+    return f"SELECT key, arg_min(path, -ln({u}) / weight) AS path FROM ({nodes}) GROUP BY key"
+
+
+def descent_sql(name: str, tree: sharding.Tree) -> str:
+    """Tables by which `name` gets (key, path), the leaf of each key in keys."""
+    tables, above = [], "(SELECT key, '' AS path FROM keys)"
+    for depth, level in enumerate(sharding.children(tree)):
+        nodes = ", ".join(f"('{parent}', '{path}', {weight}::DOUBLE)" for parent, below in level.items() for path, weight in below.items())
+        nodes = f"SELECT key, x.path, weight FROM {above} a JOIN (VALUES {nodes}) x(parent, path, weight) ON x.parent = a.path"
+        above = f"{name}{depth}" if depth < 2 else name
+        tables.append(f"{above} AS ({draws_sql(nodes)})")
+    return ",\n".join(tables)
+
+
+ORACLE["op11_hash_tree_sharding"] = f"""
+WITH docs AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS key, coalesce(text, '') AS text FROM documents),
+keys AS (SELECT DISTINCT key FROM docs),
+{descent_sql("now", sharding.layout(SHARDS))},
+{descent_sql("later", sharding.layout(SHARDS + 1))},
+remainders AS (SELECT [{", ".join(str(crc32_entry(b)) for b in range(256))}]::BIGINT[] AS k),
+summed AS (
+    SELECT doc_id, key, len(b) + 1 AS size,
+           xor(list_reduce(b, lambda c, x: xor(c >> 8, k[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
+    FROM (SELECT doc_id, key, list_transform(regexp_extract_all(hex(text), '..'), lambda x: ('0x' || x)::BIGINT) AS b FROM docs), remainders),
+placed AS (
+    SELECT doc_id, size::BIGINT AS size, text_crc32, string_split(n.path, '/')[4]::INTEGER AS shard, string_split(l.path, '/')[4]::INTEGER AS grown_shard
+    FROM summed JOIN now n USING (key) JOIN later l USING (key))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, size, text_crc32) - 1 AS slot
+FROM placed
+"""
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents for every benchmark item."""
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_ranked_search"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS t FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, {WORDS_SQL} AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+wanted AS (SELECT i, term, count(*) AS q FROM (SELECT i, unnest(t) AS term FROM items) GROUP BY ALL),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM docs)
+         WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+totals AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM docs WHERE len(t) > 0),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, totals GROUP BY term),
+lengths AS (SELECT r, doc_id, 25 + (75 * len(t) * n) // l AS m FROM docs, totals WHERE len(t) > 0 AND doc_id IS NOT NULL),
+scores AS (SELECT i, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+           FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (r) GROUP BY ALL),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INTEGER AS rank
+           FROM scores JOIN items USING (i) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranking.K}
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that are almost as near to an anchor as its positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+ORACLE["op13_hard_negatives"] = f"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+           FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND {negatives.SHARES[0]} * positive_score <= 100 * score AND 100 * score <= {negatives.SHARES[1]} * positive_score
+QUALIFY rank <= {negatives.NEGATIVES}
+"""

@@ -28,10 +28,10 @@ SIGN = np.uint64(1 << 63)
 EXACT = 1 << 53
 
 
-def quantised(embedding: Column) -> Column:
-    """floor(64 x) of every component as longs; null for vectors that are null or hold a null or non-finite value."""
+def quantised(embedding: Column, scale: int = SCALE) -> Column:
+    """floor(scale * x) of every component as longs; null for vectors that are null or hold a null or non-finite value."""
     sound = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return F.when(sound, F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
+    return F.when(sound, F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("long")))
 
 
 class Queries:
