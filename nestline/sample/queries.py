@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from nestline.config import PUSH_FIELDS
+from nestline.config import EMAIL_FIELDS, ENVELOPES, PUSH_FIELDS
 from nestline.functions import gain
 from nestline.functions.hashing import user_group
 from nestline.functions.identity import is_real_id
@@ -743,8 +743,7 @@ def _bucketed_candidates(spark: SparkSession, sf: str) -> DataFrame:
 _ASSEMBLED = f"""
     SELECT user_id, variation, experiment_name, CAST(place // {{size}} AS INTEGER) AS part,
            CAST(ceil(max(mine) / {{size}}) AS INTEGER) AS parts,
-           string_agg(listing_id, ',' ORDER BY seq_id, listing_state, listing_id) AS listing_ids,
-           string_agg(listing_city, ',' ORDER BY seq_id, listing_state, listing_id) AS cities,
+           {", ".join(f"string_agg(coalesce(CAST({f} AS VARCHAR), ''), ',' ORDER BY place) AS {f}" for f in PUSH_FIELDS)},
            count(*) AS n
     FROM (SELECT *, row_number() OVER (PARTITION BY user_id
                       ORDER BY seq_id NULLS FIRST, listing_state, listing_id) - 1 AS place,
@@ -756,11 +755,12 @@ _ASSEMBLED = f"""
 
 
 def _assembled(spark: SparkSession, sf: str, per_message: int | None) -> DataFrame:
+    """All fields of a message's recommendations, those of one name joined in order."""
     built = msg.assemble(_bucketed_candidates(spark, sf), PUSH_FIELDS, per_message)
     return built.select(
         "user_id", "variation", "experiment_name", "part", "parts",
-        F.array_join(F.col("recommendations.listing_id"), ",").alias("listing_ids"),
-        F.array_join(F.col("recommendations.listing_city"), ",").alias("cities"),
+        *[F.array_join(F.transform(f"recommendations.{f}", lambda x: F.coalesce(x.cast("string"), F.lit(""))),
+                       ",").alias(f) for f in PUSH_FIELDS],
         F.size("recommendations").cast("long").alias("n"))
 
 
@@ -775,38 +775,67 @@ def assemble_in_parts(spark, sf):
     return _assembled(spark, sf, 4)
 
 
-@query("""SELECT CASE WHEN length(user_id) <= 24 THEN user_id END AS member_id,
-                 CASE WHEN length(user_id) > 24 THEN user_id END AS visitor_id,
-                 '1.1' AS version, 'recommended_homes_email-v1' AS notification_type,
-                 variation, experiment_name AS experiment_key, reccity AS first_city,
-                 CAST(n AS BIGINT) AS n
-          FROM (SELECT CASE WHEN CAST(user_id AS BIGINT) % 2 = 0
-                            THEN 'visitor-with-a-long-id-' || lpad(user_id, 8, '0')
-                            ELSE user_id END AS user_id, variation, experiment_name, reccity,
-                       count(*) AS n
-                FROM (""" + _EMAIL_CANDIDATES + """) GROUP BY ALL)""")
+_BODY = ("struct<meta: struct<version: string, clientId: string, clientName: string, "
+         "notificationType: string, experiment: struct<key: string, variation: string>>, "
+         "payload: struct<content: struct<recommendations: array<struct<{fields}>>>, "
+         "recipients: array<struct<memberId: string, visitorId: string>>>>")
+
+
+def parsed_bodies(bodies: DataFrame, body: str, fields: Sequence[str]) -> DataFrame:
+    """Bodies parsed back, so that what is checked is what would be sent: a row for each
+    recommendation with its place, all of its fields and all that the envelope says, as text."""
+    shape = _BODY.format(fields=", ".join(f"{f}: string" for f in fields))
+    content = F.col("b.payload.content.recommendations")
+    return (bodies.select(F.from_json(body, shape).alias("b"))
+            .select("b", F.size(content).cast("long").alias("n"),
+                    F.posexplode(content).alias("place", "item"))
+            .select(F.col("b.payload.recipients")[0]["memberId"].alias("member_id"),
+                    F.col("b.payload.recipients")[0]["visitorId"].alias("visitor_id"),
+                    F.size("b.payload.recipients").cast("long").alias("n_recipients"),
+                    F.col("b.meta.version").alias("version"),
+                    F.col("b.meta.clientId").alias("client_id"),
+                    F.col("b.meta.clientName").alias("client_name"),
+                    F.col("b.meta.notificationType").alias("notification_type"),
+                    F.col("b.meta.experiment.key").alias("experiment_key"),
+                    F.col("b.meta.experiment.variation").alias("variation"), "n",
+                    F.col("place").cast("long"), "item.*"))
+
+
+def bodies_sql(source: str, event_type: str, fields: Sequence[str], ties: str = "") -> str:
+    """What ``parsed_bodies`` gives for the messages of the candidates in ``source``."""
+    version, kind = ENVELOPES[event_type]
+    return f"""
+    SELECT CASE WHEN length(user_id) <= 24 THEN user_id END AS member_id,
+           CASE WHEN length(user_id) > 24 THEN user_id END AS visitor_id,
+           CAST(1 AS BIGINT) AS n_recipients, '{version}' AS version, 'client' AS client_id,
+           'client name' AS client_name, '{kind}' AS notification_type,
+           experiment_name AS experiment_key, variation, count(*) OVER message AS n,
+           row_number() OVER (message ORDER BY seq_id NULLS FIRST, listing_state, listing_id{ties})
+             - 1 AS place, {", ".join(f"CAST({f} AS VARCHAR) AS {f}" for f in fields)}
+    FROM ({source}) WHERE variation IS NOT NULL
+    WINDOW message AS (PARTITION BY user_id, variation, experiment_name)"""
+
+
+# the first place is that of the user's best position, whatever the address
+EMAIL_SOURCE = f"""SELECT c.*, e.email, 'V1' AS variation, 'mail-v1' AS experiment_name,
+    first_value(c.listing_city) OVER w AS reccity, first_value(c.listing_state) OVER w AS recstate
+    FROM v_clean_ranked c JOIN {_EMAIL_ELIGIBLE} e ON e.customer_id = c.user_id
+    WINDOW w AS (PARTITION BY c.user_id ORDER BY c.seq_id, c.listing_state, c.listing_id)"""
+
+
+@query(bodies_sql(f"""SELECT * REPLACE (CASE WHEN CAST(user_id AS BIGINT) % 2 = 0
+                                  THEN 'visitor-with-a-long-id-' || lpad(user_id, 8, '0')
+                                  ELSE user_id END AS user_id) FROM ({EMAIL_SOURCE})""",
+                  "recommended_homes_email", EMAIL_FIELDS, ", email NULLS FIRST"))
 def envelope(spark, sf):
-    """Bodies are parsed back, so that what is checked is what would be sent."""
+    """Every field of every body, of members and of visitors with long ids."""
     user = F.col("user_id")
     routed = _email_candidates(spark, sf).withColumn("user_id", F.when(
         user.cast("long") % 2 == 0, F.concat(F.lit("visitor-with-a-long-id-"),
                                              F.lpad(user, 8, "0"))).otherwise(user))
-    sent = msg.envelope(msg.assemble(routed, msg.message_fields("recommended_homes_email"), None),
-                        "recommended_homes_email", "client", "client name")
-    shape = ("struct<meta: struct<version: string, notificationType: string, "
-             "experiment: struct<key: string, variation: string>>, "
-             "payload: struct<content: struct<recommendations: array<struct<reccity: string>>>, "
-             "recipients: array<struct<memberId: string, visitorId: string>>>>")
-    parsed = sent.select(F.from_json("body", shape).alias("b"))
-    return parsed.select(
-        F.col("b.payload.recipients")[0]["memberId"].alias("member_id"),
-        F.col("b.payload.recipients")[0]["visitorId"].alias("visitor_id"),
-        F.col("b.meta.version").alias("version"),
-        F.col("b.meta.notificationType").alias("notification_type"),
-        F.col("b.meta.experiment.variation").alias("variation"),
-        F.col("b.meta.experiment.key").alias("experiment_key"),
-        F.col("b.payload.content.recommendations")[0]["reccity"].alias("first_city"),
-        F.size("b.payload.content.recommendations").cast("long").alias("n"))
+    sent = msg.envelope(msg.assemble(routed, EMAIL_FIELDS, None), "recommended_homes_email",
+                        "client", "client name")
+    return parsed_bodies(sent, "body", EMAIL_FIELDS)
 
 
 @query(f"""SELECT DISTINCT user_id, '' AS recommendations, variation, experiment_name
@@ -815,14 +844,24 @@ def control_messages(spark, sf):
     return msg.control_messages(_bucket_app(spark, sf))
 
 
-@query(f"SELECT count(DISTINCT user_id) AS delivered FROM {_BUCKET_APP} WHERE variation = 'C'")
+_CONTROL_BODIES = f"""
+    SELECT '{{"meta":{{"version":"{ENVELOPES["dom_zip_app"][0]}","clientId":"client",'
+           || '"clientName":"client name","notificationType":"{ENVELOPES["dom_zip_app"][1]}",'
+           || '"experiment":{{"key":"' || experiment_name || '","variation":"C"}}}},"payload":'
+           || '{{"content":{{"recommendations":""}},"recipients":[{{"memberId":"' || user_id
+           || '","visitorId":null}}]}}}}' AS body, count(*) OVER () AS delivered
+    FROM (SELECT DISTINCT user_id, experiment_name FROM {_BUCKET_APP} WHERE variation = 'C')"""
+
+
+@query(_CONTROL_BODIES)
 def message_sink(spark, sf):
-    """Bodies written as lines of text, read back and counted."""
+    """Bodies written as lines of text and read back, next to the number reported by the write."""
     sent = msg.envelope(msg.control_messages(_bucket_app(spark, sf)), "dom_zip_app", "client",
                         "client name")
     path = scratch_path(spark, "messages")
-    writers.write_messages(sent, path)
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("delivered"))
+    delivered = writers.write_messages(sent, path)
+    return spark.read.text(path).select(F.col("value").alias("body"),
+                                        F.lit(delivered).cast("long").alias("delivered"))
 
 
 # ------------------------------------------------------------------ offline metrics
@@ -1086,23 +1125,51 @@ def dq_age(spark, sf):
     return late.select("listing_id", "listing_start_datetime_mst", "age_days")
 
 
-@query("""SELECT 'duplicates' AS "check", count(*) = 0 AS passed, '20000115' AS target_date
+VERDICT_SQL = "CASE passed WHEN true THEN 'passed' WHEN false THEN 'failed' ELSE 'none' END AS verdict"
+
+
+def verdict(passed: str) -> Column:
+    """A check's result as text; volumes have none."""
+    return (F.when(F.col(passed), "passed").when(~F.col(passed), "failed").otherwise("none")
+            .alias("verdict"))
+
+
+@query(f"SELECT * EXCLUDE (passed), {VERDICT_SQL} FROM (" + """
+          SELECT 'duplicates' AS "check", count(*) = 0 AS passed, '20000115' AS target_date,
+                 '{"n_violations":' || count(*) || '}' AS detail
           FROM (SELECT 1 FROM v_ranked WHERE listing_id IS NOT NULL
                 GROUP BY user_id, listing_id HAVING count(*) > 1)
           UNION ALL
-          SELECT 'first_slot', count(DISTINCT user_id)
-                   = count(DISTINCT user_id) FILTER (seq_id = 1), '20000115' FROM v_ranked
+          SELECT 'first_slot', n_users = n_first, '20000115',
+                 '{"n_users":' || n_users || ',"n_first":' || n_first
+                 || ',"n_empty_first":0,"passed":' || (n_users = n_first) || '}'
+          FROM (SELECT count(DISTINCT user_id) AS n_users,
+                       count(DISTINCT user_id) FILTER (seq_id = 1) AS n_first FROM v_ranked)
+          UNION ALL
+          SELECT 'users.user_id', n_rows = 0, '20000115',
+                 '{"check":"user_id","n_keys":' || n_keys || ',"n_rows":' || n_rows || ',"n_total":'
+                 || n_total || ',"pct":' || CAST(100 * n_keys / n_total AS DOUBLE) || ',"passed":'
+                 || (n_rows = 0) || '}'
+          FROM (SELECT count(DISTINCT user_id) FILTER (user_id = '') AS n_keys,
+                       count(*) FILTER (coalesce(user_id, '') = '') AS n_rows,
+                       count(DISTINCT user_id) AS n_total FROM v_ranked)
           UNION ALL
-          SELECT 'users.user_id', count(*) FILTER (coalesce(user_id, '') = '') = 0, '20000115'
-          FROM v_ranked""")
+          SELECT 'listings.for_sale', NULL, '20000115',
+                 '{"check":"for_sale","n_keys":' || n_keys || ',"n_rows":' || n_rows
+                 || ',"n_total":' || n_total || '}'
+          FROM (SELECT count(DISTINCT listing_id) FILTER (listing_status = 'for sale') AS n_keys,
+                       count(*) FILTER (listing_status = 'for sale') AS n_rows,
+                       count(DISTINCT listing_id) AS n_total FROM v_ranked))""")
 def dq_report(spark, sf):
+    """Verdicts and the text of every detail, for checks and for volumes."""
     ranked = v.ranked(spark, sf)
     report = dq.dq_report({
         "duplicates": dq.dq_duplicates(ranked, ["user_id", "listing_id"]),
         "first_slot": dq.dq_first_slot(ranked),
         "users": dq.dq_rate(ranked, "user_id", {"user_id": dq.is_empty("user_id")}, {}),
-    }, v.RUN_DATE)
-    return report.drop("detail")
+    }, v.RUN_DATE, {"listings": dq.dq_counts(ranked, "listing_id", {
+        "for_sale": F.col("listing_status") == "for sale"})})
+    return report.select("check", verdict("passed"), "target_date", "detail")
 
 
 # ------------------------------------------------------------------ partitioned tables

@@ -421,10 +421,16 @@ SQL = {
                AS listing_square_feet,
              CASE WHEN number % 7 <> 0 THEN CAST(number * 400 AS VARCHAR) END
                AS listing_lot_square_feet,
+             'https://img/' || number AS listing_photo_url, 'https://home/' || number AS ldp_url,
              'City ' || (number % 20) AS listing_city,
              (['NM', 'DC', 'TX', 'CA', 'NY'])[number % 5 + 1] AS listing_state,
-             number * 1000.0 AS listing_current_price,
-             number % 4 AS listing_number_of_bath_rooms, number % 6 AS listing_number_of_bed_rooms
+             lpad(CAST(number AS VARCHAR), 5, '0') AS listing_postal_code,
+             CAST(number * 1000 AS DOUBLE) AS listing_current_price,
+             '2000-01-10 00:00:00' AS listing_start_datetime_mst,
+             number % 4 AS listing_number_of_bath_rooms, number % 6 AS listing_number_of_bed_rooms,
+             number % 30 AS dom, number % 12 AS ldp_pageview_count, number % 3 AS shares_count,
+             number % 5 AS saves_count, CASE WHEN number % 2 = 0 THEN 'y' ELSE 'n' END AS viewed,
+             CASE WHEN number % 3 = 0 THEN 'y' ELSE 'n' END AS saved_home
       FROM (SELECT *, coalesce(TRY_CAST(listing_id AS BIGINT), 7) AS number
             FROM v_recs WHERE row_id IS NOT NULL)""",
     "v_user_features": f"""
@@ -563,7 +569,8 @@ SQL |= {
     "v_clean_ranked": """
       SELECT * FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, listing_id
-                                     ORDER BY seq_id, state, listing_state) AS crn
+                                     ORDER BY seq_id, state, listing_state, match_score,
+                                              listing_status) AS crn
         FROM v_ranked WHERE user_id NOT IN ('$CUSTOMER_ID_$', 'unknown')
                         AND listing_id <> 'unknown')
       WHERE crn = 1""",
