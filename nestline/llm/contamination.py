@@ -2,8 +2,8 @@
 
 Documents of up to `SHARD_BYTES` bytes are a shard: the places of its words form one array of suffixes, ordered
 by their next words. Every suffix of a benchmark item that has a whole window is looked for by binary
-search; the interval found holds all places of its window, and longer matches are followed word by
-word. Only places whose first words begin some benchmark suffix are sorted: no other place can match,
+search; the interval found holds all places of its window. Longer matches are followed word by word in the
+suffixes of the items that begin with the window, by binary search among them. Only places whose first words begin some benchmark suffix are sorted: no other place can match,
 so the array stays small and nothing is lost.
 
 The benchmark goes to the tasks in blocks of at most `BLOCK_CHARS` characters, so what is broadcast is
@@ -40,9 +40,10 @@ FOUND = StructType([
 
 
 class Windows:
-    """The windows of one length of a block of items: different ones only, in order of their words."""
+    """The windows of one length of a block of items: different ones only, in order of their words, and for each
+    the suffixes that begin with it, in order of the words behind it."""
 
-    def __init__(self, length: int, places: np.ndarray, item_of: np.ndarray, ids: list, text: np.ndarray):
+    def __init__(self, length: int, places: np.ndarray, item_of: np.ndarray, ids: list, text: np.ndarray, item_end: np.ndarray):
         self.length = length
         rows = text[places[:, None] + np.arange(length)]
         order = np.lexsort(rows.T[::-1])
@@ -50,7 +51,11 @@ class Windows:
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
         first = np.flatnonzero(fresh)
-        self.rows, self.place = rows[first], places[first]
+        self.rows, self.suffixes, self.begin = rows[first], places, np.append(first, len(rows))
+        words_in_order = text.astype(">u8")
+        for a in np.flatnonzero(np.diff(self.begin) > 1):  # bytes of big-endian words are in the order of the words
+            part = slice(self.begin[a], self.begin[a + 1])
+            self.suffixes[part] = sorted(places[part].tolist(), key=lambda p: words_in_order[p + length:item_end[p]].tobytes())
         self.items = [{ids[i] for i in item_of[a:b] if ids[i] is not None}
                       for a, b in zip(first, [*first[1:], len(rows)])]
         self.lead = min(LEAD, length)
@@ -75,9 +80,16 @@ class Block:
         short = counts[item_of] < window
         lengths = np.where(short, np.where(places == first[item_of], counts[item_of], 0),
                            np.where(places + window <= self.item_end, window, 0))
-        self.windows = [Windows(int(n), places[lengths == n], item_of[lengths == n], self.ids, self.text)
+        self.windows = [Windows(int(n), places[lengths == n], item_of[lengths == n], self.ids, self.text, self.item_end)
                         for n in np.unique(lengths) if n]
         self.item_of = item_of
+        order = {i: k for k, i in enumerate(sorted({i for i in self.ids if i is not None}))}
+        self.id_rank = np.array([order.get(i, len(order)) for i in self.ids], np.int64)
+
+    def next_words(self, suffixes: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The word behind the first `length` words of each suffix, 0 where its item ends."""
+        at = suffixes + length
+        return np.where(at < self.item_end[suffixes], self.text[at], np.uint64(0))
 
 
 def before(a: np.ndarray, b: np.ndarray, or_equal: bool) -> np.ndarray:
@@ -127,6 +139,29 @@ def shard_matches(block: Block, hashes: np.ndarray, first: np.ndarray) -> tuple:
     return found
 
 
+def followed(block: Block, w: Windows, places: np.ndarray, classes: np.ndarray, hashes: np.ndarray, row_end: np.ndarray) -> tuple:
+    """For each match of a window the length of the longest one that begins there, and the range of the window's
+    suffixes that go on so far."""
+    low, high, length = w.begin[classes], w.begin[classes + 1], np.full(len(places), w.length)
+    going = np.arange(len(places))
+    while len(going := going[places[going] + length[going] < row_end[places[going]]]):
+        wanted = hashes[places[going] + length[going]]
+        ends = []
+        for after_equal in (False, True):
+            a, b = low[going].copy(), high[going].copy()
+            while (open_ := np.flatnonzero(a < b)).size:
+                middle = (a[open_] + b[open_]) // 2
+                word = block.next_words(w.suffixes[middle], length[going[open_]])
+                right = (word < wanted[open_]) | (after_equal & (word == wanted[open_]))
+                a[open_[right]], b[open_[~right]] = middle[right] + 1, middle[~right]
+            ends.append(a)
+        more = ends[1] > ends[0]
+        going = going[more]
+        low[going], high[going] = ends[0][more], ends[1][more]
+        length[going] += 1
+    return length, low, high
+
+
 def scan(block: Block, texts: pa.Array) -> list:
     """The fields of FOUND for each text."""
     parts = [scan_shard(block, rows, offsets, data) for rows, offsets, data in
@@ -143,28 +178,24 @@ def scan_shard(block: Block, rows: int, offsets: np.ndarray, data: np.ndarray) -
     row_end = np.repeat(first[1:], counts)
     cover = np.zeros(len(hashes) + 1, np.int64)
     items: dict[int, set] = {}
-    longest = []
+    longest: list[tuple] = []
     for n, places, classes in shard_matches(block, hashes, first):
         w = block.windows[n]
         cover += np.bincount(places, minlength=len(cover)) - np.bincount(places + w.length, minlength=len(cover))
         pairs = np.unique(row_of[places] * len(w.rows) + classes)
         for row, c in zip((pairs // len(w.rows)).tolist(), (pairs % len(w.rows)).tolist()):
             items.setdefault(row, set()).update(w.items[c])
-        other, length = w.place[classes], np.full(len(places), w.length)
-        going = np.arange(len(places))
-        while len(going):
-            p, q = places[going] + length[going], other[going] + length[going]
-            inside = (p < row_end[places[going]]) & (q < block.item_end[other[going]])
-            going = going[inside]
-            going = going[hashes[p[inside]] == block.text[q[inside]]]
-            length[going] += 1
-        longest.append((row_of[places], length, places - first[row_of[places]], block.item_of[other]))
+        length, low, high = followed(block, w, places, classes, hashes, row_end)
+        row = row_of[places]
+        order = np.lexsort((places, -length, row))
+        lead = order[np.concatenate(([True], np.diff(row[order]) > 0))]
+        for k in lead.tolist():  # one for each text: the smallest id of those that go on as far
+            ids = block.item_of[w.suffixes[low[k]:high[k]]]
+            item = int(ids[np.argmin(block.id_rank[ids])])
+            longest.append((int(row[k]), -int(length[k]), int(places[k] - first[row[k]]), int(block.id_rank[item]), item))
     best: dict[int, tuple] = {}
-    if longest:
-        row, length, start, item = map(np.concatenate, zip(*longest))
-        order = np.lexsort((item, start, -length, row))
-        lead = order[np.concatenate(([True], np.diff(row[order]) > 0))] if len(order) else order
-        best = {int(row[k]): (int(length[k]), int(start[k]), block.ids[item[k]]) for k in lead}
+    for r, length, start, _, item in sorted(longest):
+        best.setdefault(r, (-length, start, block.ids[item]))
     hit = np.cumsum(cover)[:-1] > 0
     starts, ends = [None] * rows, [None] * rows
     for r in best:

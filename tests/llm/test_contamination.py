@@ -25,7 +25,7 @@ def cut(text):
 
 
 def brute(text, items):
-    words, hit, ids, best = cut(text), set(), set(), 0
+    words, hit, ids, best = cut(text), set(), set(), []
     for item, body in items:
         other = cut(body)
         size = min(13, len(other))
@@ -35,10 +35,11 @@ def brute(text, items):
                     n = size
                     while p + n < len(words) and a + n < len(other) and words[p + n] == other[a + n]:
                         n += 1
-                    best = max(best, n)
+                    best.append((-n, p, item is None, str(item)))
                     hit |= set(range(p, p + size))
                     ids |= set() if item is None else {str(item)}
-    return len(words), len(hit), sorted(ids), best
+    n, p, nameless, item = min(best, default=(0, None, True, None))
+    return len(words), len(hit), sorted(ids), -n or None, p, None if nameless else item
 
 
 @pytest.fixture(scope="module")
@@ -69,13 +70,22 @@ def test_every_place(spark, corpus, block_chars):
     rows = rows.select("text", "got", n_hit.alias("h"), n_items.alias("i"), verdict.alias("v")).collect()
     assert len(rows) == len(texts)
     for r in rows:
-        words, hit, ids, best = brute(r.text, items)
+        words, hit, ids, *best = brute(r.text, items)
         assert (r.got.n_words, r.h, r.i, r["got"]["items"] or []) == (words, hit, len(ids), ids)
-        assert (r.got.longest or 0) == best and r.v == (hit > 0 and 20 * hit >= words)
+        assert [r.got.longest, r.got.longest_start, r.got.longest_item] == best and r.v == (hit > 0 and 20 * hit >= words)
     left = contamination.remove(docs, bench)
     assert left.columns == docs.columns and left.count() == sum(not r.v for r in rows)
 
 
+def test_items_that_share_a_window_and_go_on_differently(spark):
+    shared = " ".join(f"s{k}" for k in range(20))
+    items = [(i, f"{shared} {' '.join(f'{x}{k}' for k in range(9))}") for i, x in enumerate("abcde")] + [(7, shared), (9, f"q q {shared} b0")]
+    texts = [(1, f"x {shared} c0 c1 c2 c9"), (2, f"{shared} y"), (3, f"{shared} b0 b9 and {shared} d0 d1 d2"), (4, f"{shared} e0 e1"), (5, shared)]
+    rows = contamination.matches(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string"), ["text"], "got").collect()
+    for r in rows:
+        assert [r.got.longest, r.got.longest_start, r.got.longest_item] == list(brute(r.text, items)[3:])
+
+
 def test_empty_tables(spark, corpus):
     texts, items = corpus
     docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
