@@ -1,23 +1,25 @@
 """License scan: stated phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line, as the set of its words. Tokens are ordered by the number of documents that hold
-them, rarest first. A block that holds the share `THRESHOLD` of a template's tokens must hold one of the
-template's first tokens in that order (prefix filter), at least as many template tokens as needed
-(length filter), and enough behind the shared token on both sides (positional filter); what is left is
-verified by the overlap itself. All steps are DataFrame functions; the templates are a parameter of
+A block is a run of neighbouring words, wherever lines end, as the set of these; its length is that of the
+template and a share `SLACK` more, so words that stand far apart don't make a template. Tokens are ordered by
+the number of documents that hold them, rarest first. A block that holds the share `THRESHOLD` of a template's
+tokens must hold one of the template's first tokens in that order (prefix filter), at least as many
+template tokens as needed (length filter), and enough behind the shared token on both sides (positional
+filter); what is left is verified by the overlap itself. Blocks are made around the first tokens only. All steps are DataFrame functions; the templates are a parameter of
 bounded size, only their tokens' document counts, at most MAX_TOKENS of them, come to the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
-THRESHOLD, MAX_TOKENS = 0.8, 10_000
+THRESHOLD, SLACK, MAX_TOKENS = 0.8, 0.25, 10_000
 #: Sentences by which licenses and claims are stated, with the label each stands for.
 TEMPLATES = (
     ("apache", "licensed under the apache license version 2 0"),
@@ -52,6 +54,11 @@ def needed(tokens: int, threshold: float) -> int:
     return next(n for n in range(tokens + 1) if n / tokens >= threshold)
 
 
+def span_of(template: str) -> int:
+    """The number of words of a template's blocks."""
+    return len(template.split()) + ceil(SLACK * len(template.split()))
+
+
 def phrase_places(words: Column, phrase: str) -> Column:
     """Indices of the words at which the phrase's words stand in a row."""
     parts = phrase.split(" ")
@@ -67,11 +74,23 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(F.transform(zipped, stands), lambda i: i.isNotNull())
 
 
+def most_held(near: Column, middle: Column, tokens: Column, span: Column) -> Column:
+    """Of the blocks of `span` words in `near` that hold the word at `middle`, the most different `tokens` in one."""
+    held = F.filter(F.transform(near, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+                    lambda x: F.array_contains(tokens, x["word"]) & (F.abs(x["at"] - middle) < span))
+
+    def counted(marks: Column) -> Column:
+        first = F.filter(marks, lambda x: x["at"] <= middle)
+        return F.array_max(F.transform(first, lambda x: F.size(F.array_distinct(F.transform(
+            F.filter(marks, lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + span)), lambda y: y["word"])))))
+    return bound(held, counted)
+
+
 def block_matches(body: DataFrame, key: list[str], low: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, label, containment) for every block, a line of the lower-cased text `low`, that holds `threshold`
-    or more of the different words of a template."""
-    sets = [(label, sorted(set(text.split()))) for label, text in templates]
-    vocabulary = sorted({t for _, tokens in sets for t in tokens})
+    """(key, label, containment) for the blocks of the lower-cased text `low` that hold `threshold` or more of the
+    different words of a template: for each place of a template's first tokens the best of the blocks around it."""
+    sets = [(label, sorted(set(text.split())), span_of(text)) for label, text in templates]
+    vocabulary = sorted({t for _, tokens, _ in sets for t in tokens})
     if len(vocabulary) > MAX_TOKENS:
         raise ValueError(f"the templates have more than {MAX_TOKENS} different words")
     held = F.array_intersect(F.lit(vocabulary), words_of(F.col(low)))
@@ -79,22 +98,31 @@ def block_matches(body: DataFrame, key: list[str], low: str, templates=TEMPLATES
     order = sorted(vocabulary, key=lambda t: (counted.get(t, 0), t))
     rank = {t: k for k, t in enumerate(order)}
     postings = []
-    for number, (label, tokens) in enumerate(sets):
+    for number, (label, tokens, span) in enumerate(sets):
         tokens = sorted(tokens, key=rank.get)
         need = needed(len(tokens), threshold)
-        postings += [(tokens[p], number, label, tokens, p, len(tokens), need) for p in range(len(tokens) - need + 1)]
+        postings += [(tokens[p], number, label, tokens, p, len(tokens), need, span) for p in range(len(tokens) - need + 1)]
     spark = body.sparkSession
-    postings_df = spark.createDataFrame(postings, "token string, template int, label string, tokens array<string>, p int, size int, need int")
-    least = min(p[-1] for p in postings)
-    leads = sorted({p[0] for p in postings})
-    held = F.transform(F.split(F.col(low), "\n", -1), lambda line: F.array_intersect(F.lit(order), words_of(line)))
-    blocks = body.select(*key, F.explode(F.filter(held, lambda block: F.size(block) >= least)).alias("block"))
-    pairs = (blocks.select(*key, "block", F.posexplode("block").alias("q", "token")).where(F.col("token").isin(leads))
+    postings_df = spark.createDataFrame(
+        postings, "token string, template int, label string, tokens array<string>, p int, size int, need int, span int")
+    leads, reach = sorted({p[0] for p in postings}), max(p[-1] for p in postings) - 1
+
+    def around(words: Column) -> Column:
+        """(token, words before and behind it, its index among these) of each first token."""
+        def place(word: Column, i: Column) -> Column:
+            start = F.greatest(i - reach, F.lit(0))
+            return F.when(word.isin(*leads), F.struct(
+                word.alias("token"), F.slice(words, start + 1, i - start + 1 + reach).alias("near"), (i - start).alias("middle")))
+        return F.filter(F.transform(words, place), lambda x: x.isNotNull())
+
+    found = F.when(F.size(F.array_intersect(F.lit(leads), words_of(F.col(low)))) > 0, bound(words_of(F.col(low)), around))
+    pairs = (body.select(*key, F.explode(found).alias("x")).select(*key, "x.*").withColumn("block", F.array_intersect(F.lit(order), "near"))
              .join(postings_df, "token")
-             .where(F.least(F.col("size") - F.col("p"), F.size("block") - F.col("q")) >= F.col("need")))
-    overlap = F.size(F.array_intersect("block", "tokens"))
-    return (pairs.where(overlap >= F.col("need"))
-            .select(*key, "label", (overlap / F.col("size")).cast("double").alias("containment")))
+             .where(F.least(F.col("size") - F.col("p"), F.size("block") - F.array_position("block", F.col("token")) + 1) >= F.col("need"))
+             .where(F.size(F.array_intersect("block", "tokens")) >= F.col("need")))
+    overlap = most_held(F.col("near"), F.col("middle"), F.col("tokens"), F.col("span"))
+    return (pairs.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
+            .select(*key, "label", (F.col("overlap") / F.col("size")).cast("double").alias("containment")))
 
 
 def scan(docs: DataFrame, text: str = "text", doc: str = "doc_id", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

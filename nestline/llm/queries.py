@@ -143,18 +143,21 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-TEMPLATES_SQL = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(licenses.TEMPLATES))
+TEMPLATES_SQL = ", ".join(f"('{label}', '{text}', {licenses.span_of(text)})" for label, text in licenses.TEMPLATES)
 PHRASES_SQL = " UNION ALL ".join(
     f"SELECT r, i - 1 AS p, '{label}' AS label FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM docs) "
     f"WHERE array_to_string(w[i:i + {len(phrase.split()) - 1}], ' ') = '{phrase}'" for phrase, label in licenses.PHRASES)
 
 ORACLE["op2_license_scan"] = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text, {WORDS_SQL} AS w FROM documents),
-templates AS (SELECT label, list_distinct(string_split(t, ' ')) AS tokens FROM (VALUES {TEMPLATES_SQL}) x(k, label, t)),
+templates AS (SELECT label, span, list_distinct(string_split(t, ' ')) AS tokens FROM (VALUES {TEMPLATES_SQL}) x(label, t, span)),
 places AS ({PHRASES_SQL}),
 base AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word FROM places GROUP BY r),
-blocks AS (SELECT r, list_distinct({WORDS_SQL}) AS b FROM (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS text FROM docs)),
-shares AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens)::DOUBLE AS share FROM blocks, templates),
+texts AS (SELECT r, w, label, span, tokens FROM docs, templates
+          WHERE len(list_intersect(list_distinct(w), tokens)) / len(tokens)::DOUBLE >= {licenses.THRESHOLD}),
+blocks AS (SELECT label, r, tokens, list_distinct(w[i:i + span - 1]) AS b
+           FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM texts) WHERE list_contains(tokens, w[i])),
+shares AS (SELECT r, label, len(list_intersect(b, tokens)) / len(tokens)::DOUBLE AS share FROM blocks),
 own AS (SELECT r, label, max(share) AS share FROM shares WHERE share >= {licenses.THRESHOLD} GROUP BY r, label),
 lists AS (SELECT r, string_agg(label, ',' ORDER BY label) AS labels
           FROM (SELECT r, label FROM own UNION SELECT r, label FROM places) GROUP BY r),
