@@ -172,12 +172,13 @@ FROM docs LEFT JOIN base USING (r) LEFT JOIN lists USING (r) LEFT JOIN bases USI
 
 @query
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spans of personal data in every document."""
+    """Spans of personal data in every document, how many the method has added, and whether there is any."""
     found = pii.find(table(spark, sf_dir, "documents"))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
-                        pii.listed(F.concat("base", "added")).alias("spans"))
+                        pii.listed(F.concat("base", "added")).alias("spans"), F.size("added").cast("long").alias("n_added"),
+                        (F.size(F.concat("base", "added")) > 0).alias("private"))
 
 
 @query

@@ -44,6 +44,7 @@ def test_query_base_equals_patterns(spark, sf):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(kinds[k] for k in pii.KINDS)
         spans = r.spans.split(",") if r.spans else []
         assert spans[:len(base)] == base and all(s.startswith("id:") for s in spans[len(base):])
+        assert (r.n_added, r.private) == (len(spans) - len(base), bool(spans))
 
 
 def test_hard_texts(spark):
