@@ -64,17 +64,29 @@ def slotted(docs: DataFrame, text: str = "text", doc: str = "doc_id", tokens: Ca
     sequence that holds the end only. The order that is permuted is that of the hash of id and text, then id;
     rows equal in both follow each other. Rows may lack an id or share one.
     """
-    prepare(docs.sparkSession)
     body = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
+    return _slotted(body, tokens, count, F.octet_length, key)
+
+
+def slotted_ids(docs: DataFrame, ids: str = "ids", doc: str = "doc_id", key: int = KEY) -> DataFrame:
+    """The same for texts that are encoded: `ids` is an array of token ids, null is empty. Pieces hold ids of four
+    bytes; `write` and `digests` take them with dtype np.int32."""
+    body = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"),
+                       F.coalesce(F.col(f"`{ids}`").cast("array<int>"), F.array().cast("array<int>")).alias("text"))
+    return _slotted(body, lambda found: np.array(found, np.int32), F.size, lambda column: 4 * F.size(column), key)
+
+
+def _slotted(body: DataFrame, tokens: Callable, count: Callable[[Column], Column], octets: Callable[[Column], Column], key: int) -> DataFrame:
+    prepare(body.sparkSession)
     body = body.withColumn("hash", F.xxhash64("doc_id", "text")).withColumn("n", F.floor(count(F.col("text")) / LENGTH).cast("long") + 1)
-    total = body.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = body.agg(F.sum(octets(F.col("text")))).first()[0] or 0
     bits = max(LEAST_SPLIT_BITS, int(total // SPLIT_BYTES).bit_length())
     rows = body.withColumn("split", F.shiftrightunsigned("hash", 64 - bits).cast("int"))
     sizes = {r.split: r.n for r in rows.groupBy("split").agg(F.sum("n").alias("n")).collect()}
     starts, size = {}, 0
     for k in sorted(sizes):
         starts[k], size = size, size + sizes[k]
-    sent = docs.sparkSession.sparkContext.broadcast(starts)
+    sent = body.sparkSession.sparkContext.broadcast(starts)
 
     def number(batches):
         following: dict[int, int] = {}

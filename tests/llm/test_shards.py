@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from nestline.llm import queries, shards
+from nestline.llm import bpe, queries, shards
 from tests.llm.helpers import documents
 
 
@@ -87,3 +87,18 @@ def test_ids_beyond_two_bytes_and_above_end(spark, tmp_path):
         shards.digests(slots, np.uint32, end, fill)
     with pytest.raises(Exception, match="must lie below end"):
         shards.digests(slots, np.uint32).collect()
+
+
+def test_encoded_texts_as_shards(spark, sf, tmp_path):
+    path, pattern = queries.VOCABULARY, queries.public_tokenizers.PATTERN
+    docs = queries.table(spark, sf, "documents").limit(60).union(documents(spark, [(900, None), (900, "twice"), (900, "twice"), (None, "x")]))
+    slots = shards.slotted_ids(bpe.encode(docs, path, pattern))
+    end, fill, uri = 50256, 50257, f"file://{tmp_path}/ids"
+    shards.write(slots, uri, np.int32, end, fill).collect()
+    want = []
+    for row in docs.collect():
+        ids = [*bpe.codec(path, pattern).encode(row.text or ""), end]
+        ids += [fill] * (-len(ids) % shards.LENGTH)
+        want += [ids[a:a + shards.LENGTH] for a in range(0, len(ids), shards.LENGTH)]
+    assert sorted(row.tolist() for row in shards.read(uri)) == sorted(want)
+    assert sorted(r.slot for r in slots.select("slot").collect()) == list(range(len(want)))
