@@ -437,7 +437,7 @@ def _lookups(spark: SparkSession, sf: str) -> list[scoring.Lookup]:
             scoring.Lookup(listing_side(zones), zips, "n", "ldp_pct_web_uls_median_zip")]
 
 
-@query(f"""SELECT p.user_id, p.listing_id,
+LOOKUPS_SQL = f"""SELECT p.user_id, p.listing_id,
                   round(c.m, 6) AS con_pct_web_uls_median_city,
                   round(c.m + 1, 6) AS ldp_pct_web_uls_median_city,
                   round(z.m, 6) AS con_pct_web_uls_median_zip,
@@ -448,18 +448,24 @@ def _lookups(spark: SparkSession, sf: str) -> list[scoring.Lookup]:
            LEFT JOIN v_con_city c ON c.consumer_ip_city = u.consumer_ip_city
                                  AND c.ldp_city = l.ldp_city
            LEFT JOIN v_con_zip z ON z.consumer_ip_zip = u.consumer_ip_zip
-                                AND z.ldp_zip = l.ldp_zip""")
-def lookup_enrich(spark, sf):
-    lookups = _lookups(spark, sf)
-    joined = _joined(spark, sf).select("user_id", "listing_id", "consumer_ip_city", "ldp_city",
-                                       "consumer_ip_zip", "ldp_zip")
+                                AND z.ldp_zip = l.ldp_zip"""
+
+
+def enriched(pairs: DataFrame, lookups: Sequence[scoring.Lookup]) -> DataFrame:
+    """The four lookups of every pair, and how many of them were filled with NaN."""
+    keys = pairs.select("user_id", "listing_id", "consumer_ip_city", "ldp_city", "consumer_ip_zip", "ldp_zip")
     names = [x.name for x in lookups]
-    enriched = scoring.lookup_enrich(joined, lookups)
+    found = scoring.lookup_enrich(keys, lookups)
     filled = sum((F.isnan(n).cast("long") for n in names), F.lit(0).cast("long"))
-    return rounded(enriched.select("user_id", "listing_id", *[
+    return rounded(found.select("user_id", "listing_id", *[
         F.nanvl(n, F.lit(None).cast("double")).alias(n) for n in names], filled.alias("n_filled")))
 
 
+@query(LOOKUPS_SQL)
+def lookup_enrich(spark, sf):
+    return enriched(_joined(spark, sf), _lookups(spark, sf))
+
+
 _RANK_SQL = """
     SELECT user_id, listing_id, match_score, row_number() OVER (
              PARTITION BY user_id ORDER BY match_score DESC, listing_id) AS seq_id
