@@ -1,13 +1,16 @@
 """Bloom filters of 64-bit hashes, built by tasks and merged in segments.
 
-A filter has a fixed size that the caller bounds; what it lets through is confirmed exactly by the
-caller, so a full filter costs speed and never a result.
+A filter that is sent out has a size of MAX_BITS at most; what it lets through is confirmed exactly by the
+caller, so a full filter costs speed and never a result. Where there are more hashes than such a filter
+holds, those that come again are first found in buckets of the hashes, each with filters of its own
+(`seen_twice`), so that only these go into the filter that is sent out.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -15,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nestline.llm.buffers import give_back, prepare
+from nestline.sources.scratch import written
 
 PROBES = 5
 SEGMENT_BITS = 1 << 19
@@ -22,12 +26,14 @@ SEGMENT_BITS = 1 << 19
 LANES = 32
 #: Size of the largest filter: 16 MB are sent to each executor.
 MAX_BITS = 1 << 27
+#: Hashes of a bucket, and those in an Arrow batch.
+BUCKET, SENT = 1 << 21, 1 << 16
 
 
-def size_for(entries: int, most: int = MAX_BITS) -> int:
-    """Bits for so many entries, 8 to 16 each, between one segment and `most`."""
+def size_for(entries: int) -> int:
+    """Bits for so many entries, 8 to 16 each, between one segment and MAX_BITS."""
     bits = SEGMENT_BITS
-    while bits < 8 * entries and bits < most:
+    while bits < 8 * entries and bits < MAX_BITS:
         bits *= 2
     return bits
 
@@ -99,6 +105,38 @@ def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: i
     return filled
 
 
+def seen_twice(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], entries: int) -> np.ndarray:
+    """Packed bits of a filter that knows every hash seen twice or more, of `entries` or so in all."""
+    if 8 * entries <= MAX_BITS:
+        return build(df, hashes, size_for(entries), True)
+    prepare(df.sparkSession)
+    buckets = ceil(entries / BUCKET)
+
+    def own(batches):
+        """(hash, whether it came again) of a task, each hash once."""
+        got = [h for h in map(hashes, batches) if len(h)]
+        seen, counts = np.unique(np.concatenate(got) if got else np.empty(0, np.uint64), return_counts=True)
+        for a in range(0, len(seen), SENT):
+            yield pa.RecordBatch.from_arrays([pa.array(seen[a:a + SENT].view(np.int64)), pa.array(counts[a:a + SENT] > 1)], names=["hash", "again"])
+        give_back()
+
+    def suspects(batches):
+        once = np.zeros(size_for(2 * BUCKET) // 8, np.uint8)
+        for batch in batches:
+            found = batch.column(0).to_numpy().view(np.uint64)
+            seen, place, counts = np.unique(found, return_inverse=True, return_counts=True)
+            more = (counts > 1) | contains(once, seen)
+            more[place[batch.column(1).to_numpy(zero_copy_only=False)]] = True
+            at = np.unique(places(seen, 8 * len(once)))
+            np.bitwise_or.at(once, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+            yield pa.RecordBatch.from_arrays([pa.array(seen[more].view(np.int64))], names=["hash"])
+        give_back()
+
+    dealt = df.mapInArrow(own, "hash long, again boolean").repartition(buckets, "hash")
+    again = written(dealt.mapInArrow(suspects, "hash long").distinct(), "again")
+    return build(again, lambda batch: batch.column(0).to_numpy().view(np.uint64), size_for(again.count()), False)
+
+
 def of_longs(df: DataFrame, column: str, entries: int) -> Callable[[Column], Column]:
     """A test for columns of longs: false for what `column` of df surely doesn't hold."""
     packed = build(df.select(column), lambda batch: batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64),

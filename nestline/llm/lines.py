@@ -1,6 +1,7 @@
 """Repeated lines, found with two Bloom filters.
 
-One scan fills a filter of line hashes seen once and one of those seen twice. A second scan keeps the
+One scan fills a filter of line hashes seen once and one of those seen twice; with more lines than one filter
+holds, the hashes alone are dealt into buckets with two filters each. A second scan keeps the
 lines that the second filter knows: only these suspected repeats are shuffled, with their whole keys,
 counted exactly and given a document that keeps them. Texts are shuffled only for documents that may
 lose a line; all others are finished where they are.
@@ -83,7 +84,7 @@ def dropped_keys(docs: DataFrame, text: str, doc: str, min_chars: int, min_docs:
     body = docs.select(F.col(f"`{doc}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     breaks = F.length("text") - F.length(F.translate("text", "\n", ""))
     lines = body.agg(F.sum(breaks + 1)).first()[0] or 0
-    packed = bloom.build(body.select("text"), lambda batch: line_hashes(batch, min_chars), bloom.size_for(lines), True)
+    packed = bloom.seen_twice(body.select("text"), lambda batch: line_hashes(batch, min_chars), lines)
     sent = body.sparkSession.sparkContext.broadcast(packed)
     numbered = body.where("doc_id is not null").withColumn("text_hash", F.xxhash64("text"))
     suspects = with_results(numbered, "text", ["doc_id", "text_hash"], "found", SUSPECTS,

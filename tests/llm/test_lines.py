@@ -36,9 +36,10 @@ def brute(rows):
     return out
 
 
-@pytest.mark.parametrize("most", [bloom.MAX_BITS, bloom.SEGMENT_BITS])
-def test_odd_lines(spark, monkeypatch, most):
-    monkeypatch.setattr(bloom, "size_for", lambda entries, limit=0: min(bloom.SEGMENT_BITS * 4, most))
+@pytest.mark.parametrize("most, bucket", [(bloom.MAX_BITS, bloom.BUCKET), (8, 25), (8, 1 << 20)])
+def test_odd_lines(spark, monkeypatch, most, bucket):
+    monkeypatch.setattr(bloom, "MAX_BITS", most)  # a filter of 8 bits is too small for any: buckets of hashes
+    monkeypatch.setattr(bloom, "BUCKET", bucket)
     chosen = random.Random(6)
     stock = ["A line that many documents REPEAT, number %d of some" % k for k in range(12)]
     stock += ["é" * 40, "ß" * 39, "x" * 40, "x" * 39, " \t" + "Padded line of more than forty characters" + "\r", "", "   ",
@@ -56,6 +57,18 @@ def test_empty_table(spark):
     assert lines.without_repeats(documents(spark, [(1, "a")]).limit(0), "got").count() == 0
 
 
+@pytest.mark.parametrize("most", [bloom.MAX_BITS, 8])
+def test_hashes_seen_twice(spark, monkeypatch, most):
+    """All that come again are known, in one task or in several, and few others."""
+    monkeypatch.setattr(bloom, "MAX_BITS", most)
+    monkeypatch.setattr(bloom, "BUCKET", 1000)
+    values = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 9000)
+    rows = spark.createDataFrame([(int(x),) for x in [*values, *values[:300], *values[:300], *[int(values[500])] * 4000]], "h long")
+    packed = bloom.seen_twice(rows.repartition(5), lambda batch: batch.column(0).to_numpy().view(np.uint64), 13_600)
+    known = bloom.contains(packed, values.view(np.uint64))
+    assert known[:300].all() and known[500] and known.sum() < 700
+
+
 def test_filters_never_miss(spark):
     values = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, 20_000)
     df = spark.createDataFrame([(int(v),) for v in values], "h long").repartition(5)
