@@ -117,6 +117,19 @@ def test_split_band_join_equals_brute_force(spark, seed):
         assert set(joined.columns) == {"q", "zip", "low", "high", "p", "price"}
 
 
+def test_points_of_one_value_are_split_too(spark):
+    queries = [(i, "hot", 1.0 * (i % 9), 5.0 + i % 3) for i in range(120)] + [(200, "z", 0.0, 9.0)]
+    points = [(i, "hot", 5.0) for i in range(200)] + [(300, "z", 3.0), (301, "hot", 8.0)]
+    q = spark.createDataFrame(queries, "q int, zip string, low double, high double")
+    p = spark.createDataFrame(points, "p int, zip string, price double")
+    hot = skew.hot_bands(q, p, "zip", "price", max_queries=50, max_points=40, slices=8)
+    split = hot.first()
+    assert split["_parts"] == 3 and max(split["_slices"].values()) == 5
+    want = sorted((a, c) for a, z, lo, hi in queries for c, y, v in points if z == y and lo <= v <= hi)
+    joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"], slices=8)
+    assert rows(joined, "q", "p") == want
+
+
 def test_cuts_below_by_halving(spark):
     edges = [1.0, 1.0, 2.0, 5.0, 5.0, 5.0, 9.0]
     values = [0.0, 1.0, 1.5, 2.0, 5.0, 6.0, 9.0, 10.0]
