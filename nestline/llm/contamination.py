@@ -43,19 +43,15 @@ class Windows:
     """The windows of one length of a block of items: different ones only, in order of their words, and for each
     the suffixes that begin with it, in order of the words behind it."""
 
-    def __init__(self, length: int, places: np.ndarray, item_of: np.ndarray, ids: list, text: np.ndarray, item_end: np.ndarray):
+    def __init__(self, length: int, places: np.ndarray, item_of: np.ndarray, ids: list, text: np.ndarray, rank: np.ndarray):
         self.length = length
+        order = np.argsort(rank[places], kind="stable")
+        places, item_of = places[order], item_of[order]
         rows = text[places[:, None] + np.arange(length)]
-        order = np.lexsort(rows.T[::-1])
-        rows, places, item_of = rows[order], places[order], item_of[order]
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
         first = np.flatnonzero(fresh)
         self.rows, self.suffixes, self.begin = rows[first], places, np.append(first, len(rows))
-        words_in_order = text.astype(">u8")
-        for a in np.flatnonzero(np.diff(self.begin) > 1):  # bytes of big-endian words are in the order of the words
-            part = slice(self.begin[a], self.begin[a + 1])
-            self.suffixes[part] = sorted(places[part].tolist(), key=lambda p: words_in_order[p + length:item_end[p]].tobytes())
         self.items = [{ids[i] for i in item_of[a:b] if ids[i] is not None}
                       for a, b in zip(first, [*first[1:], len(rows)])]
         self.lead = min(LEAD, length)
@@ -70,6 +66,23 @@ def lead_slots(rows: np.ndarray, lead: int) -> np.ndarray:
     return (mix(out) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
 
+def suffix_ranks(text: np.ndarray, item_end: np.ndarray) -> np.ndarray:
+    """The rank of each suffix of the items by its words, shorter ones first where one begins the other; equal ones
+    share a rank. Suffixes are compared by twice as many words in each round, until no round tells more apart."""
+    if not len(text):
+        return np.empty(0, np.int64)
+    different, rank = np.unique(text, return_inverse=True)
+    size, count = 1, len(different)
+    while size < (item_end - np.arange(len(text))).max():
+        ahead = np.arange(len(text)) + size
+        behind = np.where(ahead < item_end, rank[np.minimum(ahead, len(text) - 1)] + 1, 0)
+        different, rank = np.unique(rank * (len(text) + 1) + behind, return_inverse=True)
+        if len(different) == count:
+            break
+        size, count = 2 * size, len(different)
+    return rank
+
+
 class Block:
     def __init__(self, rows: list[tuple], window: int):
         hashes, first = words(*column_bytes(pa.array([t for _, t in rows], pa.string())))
@@ -80,7 +93,8 @@ class Block:
         short = counts[item_of] < window
         lengths = np.where(short, np.where(places == first[item_of], counts[item_of], 0),
                            np.where(places + window <= self.item_end, window, 0))
-        self.windows = [Windows(int(n), places[lengths == n], item_of[lengths == n], self.ids, self.text, self.item_end)
+        rank = suffix_ranks(hashes, self.item_end)
+        self.windows = [Windows(int(n), places[lengths == n], item_of[lengths == n], self.ids, self.text, rank)
                         for n in np.unique(lengths) if n]
         self.item_of = item_of
         order = {i: k for k, i in enumerate(sorted({i for i in self.ids if i is not None}))}

@@ -4,6 +4,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 from nestline.llm import contamination, queries
@@ -86,6 +87,25 @@ def test_items_that_share_a_window_and_go_on_differently(spark):
         assert [r.got.longest, r.got.longest_start, r.got.longest_item] == list(brute(r.text, items)[3:])
 
 
+def test_suffix_ranks():
+    chosen = random.Random(8)
+    lengths = [chosen.choice([1, 3, 8, 30]) for _ in range(40)]
+    text = np.array([chosen.choice([3, 5, 9]) for _ in range(sum(lengths))], np.uint64)
+    end = np.repeat(np.cumsum(lengths), lengths)
+    rank = contamination.suffix_ranks(text, end)
+    suffixes = [text[k:end[k]].tolist() for k in range(len(text))]
+    order = sorted({tuple(x) for x in suffixes})
+    assert rank.tolist() == [order.index(tuple(x)) for x in suffixes]
+
+
+def test_one_word_many_times(spark):
+    """All windows are one, and an item's suffixes differ in length only."""
+    items = [(1, "no " * 600), (2, "no " * 30 + "yes"), (3, "no")]
+    texts = [(1, "no " * 50), (2, "well " + "no " * 30 + "yes"), (3, "no " * 700)]
+    rows = contamination.matches(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string"), ["doc_id"], "got").collect()
+    assert {r.doc_id: (r.got.longest, r.got.longest_start, r.got.longest_item) for r in rows} == {1: (50, 0, "1"), 2: (31, 1, "2"), 3: (600, 0, "1")}
+
+
 def test_empty_tables(spark, corpus):
     texts, items = corpus
     docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
