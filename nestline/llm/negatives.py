@@ -142,12 +142,19 @@ def find_positives(batches, groups: dict[int, Anchors], least: dict[int, list[in
             rows, scores = (x[(labels[rows] == anchors.labels[at]) & (ids[rows] != anchors.ids[at])] for x in (rows, scores))
             mine[at].add(scores, ids[rows])
     for size, anchors in groups.items():
-        for anchor, found in zip(anchors.ids.tolist(), best[size]):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found.ids), anchor)), pa.array(found.ids), pa.array(found.scores)],
-                                             names=["anchor_id", "vec_id", "score"])
+        yield listed({"anchor_id": anchors.ids}, "vec_id", best[size])
     give_back()
 
 
+def listed(keys: dict[str, np.ndarray], ids: str, best: list[Best]) -> pa.RecordBatch:
+    """A row for each of the best rows, with the keys of what they are the best of."""
+    counts = [len(b.ids) for b in best]
+    columns = {name: np.repeat(values, counts) for name, values in keys.items()}
+    columns[ids] = np.concatenate([b.ids for b in best])
+    columns["score"] = np.concatenate([b.scores for b in best])
+    return pa.RecordBatch.from_pydict(columns)
+
+
 def window(positive: int, shares: tuple[int, int]) -> tuple[int, int]:
     """The least and the greatest score between hundredths of a positive's."""
     return -(-shares[0] * positive // 100), shares[1] * positive // 100
@@ -175,11 +182,10 @@ def find_negatives(batches, groups: dict[int, Anchors], positives: dict[int, lis
                 inside = (scores >= least) & (scores <= most)
                 found.add(scores[inside], ids[rows[inside]])
     for size, anchors in groups.items():
-        for anchor, found in zip(anchors.ids.tolist(), best[size]):
-            for (positive, score), b in zip(positives.get(anchor, []), found):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(b.ids), x)) for x in (anchor, positive, score)] + [pa.array(b.ids), pa.array(b.scores)],
-                    names=["anchor_id", "positive_id", "positive_score", "vec_id", "score"])
+        of = [(a, *p, b) for a, found in zip(anchors.ids.tolist(), best[size]) for p, b in zip(positives.get(a, []), found)]
+        if of:
+            keys = np.array([x[:3] for x in of], np.int64).T
+            yield listed(dict(zip(("anchor_id", "positive_id", "positive_score"), keys)), "vec_id", [x[3] for x in of])
     give_back()
 
 
