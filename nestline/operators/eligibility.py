@@ -31,13 +31,14 @@ def usable_pairs(candidates: DataFrame) -> DataFrame:
 def scrub_pairs(candidates: DataFrame) -> DataFrame:
     """Candidates with usable ids, one row per (user, listing): the best placed one.
 
-    Of equally placed rows the smaller state and listing state count, then the other columns in
-    their order, so that the row that stays is the same however the input is dealt out.
+    Of equally placed rows the smaller state, listing state, score and status count: all else that
+    a candidate carries belongs to its listing, so the row that stays is the same however the
+    input is dealt out, and columns nobody asks for are not read.
     """
     usable = usable_pairs(candidates)
-    first = [c for c in ("state", "listing_state") if c in candidates.columns]
-    rest = [c for c in candidates.columns if c not in ("user_id", "listing_id", "seq_id", *first)]
-    order = [F.col("seq_id").asc_nulls_last(), *[F.col(c).asc() for c in (*first, *rest)]]
+    order = [F.col("seq_id").asc_nulls_last()]
+    order += [F.col(c).asc() for c in ("state", "listing_state", "match_score", "listing_status")
+              if c in candidates.columns]
     return first_per_key(usable, ["user_id", "listing_id"], order)
 
 

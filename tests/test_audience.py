@@ -215,7 +215,7 @@ def test_control_messages_are_empty_and_distinct(spark):
 def test_repeated_pairs_leave_the_same_row_however_they_are_dealt(spark):
     made = spark.createDataFrame(
         [("1", "7", s, "NM", "CA", status, score) for s in (2, 1) for status in ("sold", "for sale", None) for score in (5.0, 3.0)],
-        "user_id string, listing_id string, seq_id int, state string, listing_state string, status string, score double")
+        "user_id string, listing_id string, seq_id int, state string, listing_state string, listing_status string, match_score double")
     for n in (1, 3, 7):
         kept = elig.scrub_pairs(made.repartition(n).orderBy(F.rand(n))).collect()
         assert [tuple(r) for r in kept] == [("1", "7", 1, "NM", "CA", None, 3.0)]

@@ -124,7 +124,7 @@ def test_points_of_one_value_are_split_too(spark):
     p = spark.createDataFrame(points, "p int, zip string, price double")
     hot = skew.hot_bands(q, p, "zip", "price", max_queries=50, max_points=40, slices=8)
     split = hot.first()
-    assert split["_parts"] == 3 and max(split["_slices"].values()) == 5
+    assert split["_parts"] == 3 and max(split["_slices"]) in (5, 6)
     want = sorted((a, c) for a, z, lo, hi in queries for c, y, v in points if z == y and lo <= v <= hi)
     joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"], slices=8)
     assert rows(joined, "q", "p") == want
