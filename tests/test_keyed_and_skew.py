@@ -148,3 +148,24 @@ def test_the_same_key_is_split_in_a_table_of_any_size(spark):
     rest = spark.range(60_000).selectExpr("cast(id AS string) AS k", "id")
     for df in (hot, hot.union(rest)):
         assert rows(skew.hot_keys(df, ["k"], 100)) == [("hot", 3)]
+
+
+def test_pieces_of_a_hot_key_do_not_grow_with_its_pairs(spark):
+    q = spark.range(20_000).selectExpr("id AS q", "'hot' AS zip", "id % 900 - 5.0D AS low", "id % 900 + 5.0D AS high")
+    p = spark.range(4000).selectExpr("id AS p", "'hot' AS zip", "cast(id % 1000 AS double) AS price")
+    hot = skew.hot_bands(q, p, "zip", "price", max_queries=100, max_points=10)
+    split = hot.first()
+    assert split["_parts"] == skew.MAX_PARTS and len(split["_slices"]) == len(split["_cuts"]) + 1 == 8
+    joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"])
+    plain = skew.band_join(q, p, "zip", "price", "low", "high")
+    assert joined.count() == plain.count() and joined.exceptAll(plain.select(joined.columns)).isEmpty()
+
+
+def test_a_key_is_hot_by_its_pairs_alone(spark):
+    q = spark.range(300).selectExpr("id AS q", "if(id < 200, 'hot', 'z') AS zip", "0.0D AS low", "60.0D AS high")
+    p = spark.range(150).selectExpr("id AS p", "if(id < 100, 'hot', 'z') AS zip", "cast(id AS double) AS price")
+    hot = skew.hot_bands(q, p, "zip", "price", max_queries=1000, max_points=1000, max_pairs=6000)
+    assert rows(hot, "zip", "_parts", "_cuts", "_slices") == [("hot", 4, [], [1])]
+    joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"])
+    plain = skew.band_join(q, p, "zip", "price", "low", "high")
+    assert joined.count() == plain.count() == 200 * 61 and joined.exceptAll(plain.select(joined.columns)).isEmpty()
