@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from nestline.operators import candidates as cand, scoring, skew
+from nestline.sample.queries import QUERIES
 from tests.helpers import rows
 
 EVENTS = ("member_id string, visitor_id string, listing_id string, page_type string, "
@@ -122,3 +124,9 @@ def test_rank_candidates_numbers_from_the_best(spark):
     ranked = scoring.rank_candidates(df, F.col("x") * 2)
     assert rows(ranked, "user_id", "listing_id", "match_score", "seq_id") == [
         ("u", "a", 2.0, 3), ("u", "b", 6.0, 1), ("u", "c", 6.0, 2), ("w", "a", 0.0, 1)]
+
+
+@pytest.mark.parametrize("name", ["candidate_generation", "candidate_generation_split", "listings_within"])
+def test_candidates_are_rounded_before_they_are_made(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join Inner") < plan.index("round(")
