@@ -35,10 +35,13 @@ def assemble(candidates: DataFrame, fields: Sequence[str],
         sent = sent.withColumns({
             "part": F.floor(place / per_message).cast("int"),
             "parts": F.ceil(F.count(F.lit(1)).over(mine) / per_message).cast("int")})
-    return (sent.groupBy(*_ADDRESSEE, "part", "parts")
-            .agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
-            .withColumn("recommendations", F.transform("_entries", lambda e: e["item"]))
-            .drop("_entries"))
+    # rows are dealt out as they come, side by side with others of their listing, before lists are
+    # made of them: the rows of one user share nothing and hardly compress
+    message = F.struct(*_ADDRESSEE, "part", "parts")
+    return (sent.select(message.alias("_message"), entry.alias("_entry")).repartition("_message")
+            .groupBy("_message").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+            .select("_message.*", F.transform("_entries", lambda e: e["item"])
+                    .alias("recommendations")))
 
 
 def control_messages(bucketed: DataFrame, control: str = "C") -> DataFrame:

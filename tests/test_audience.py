@@ -1,10 +1,11 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from nestline.config import EMAIL_FIELDS, ENVELOPES, PUSH_FIELDS
 from nestline.operators import channels, eligibility as elig, experiment as exp, messages as msg
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 ALL_A = (("A", 10_000),)
 HISTORY = "user_id string, experiment_name string, variation string"
@@ -219,3 +220,27 @@ def test_repeated_pairs_leave_the_same_row_however_they_are_dealt(spark):
     for n in (1, 3, 7):
         kept = elig.scrub_pairs(made.repartition(n).orderBy(F.rand(n))).collect()
         assert [tuple(r) for r in kept] == [("1", "7", 1, "NM", "CA", None, 3.0)]
+
+
+def test_scrubbed_and_assembled_rows_are_shuffled_side_by_side_with_their_listing(spark):
+    df = spark.createDataFrame([("u", "l", 1, "V1", "x")], "user_id string, listing_id string, "
+                               "seq_id int, variation string, experiment_name string")
+    scrubbed = plan(elig.scrub_pairs(df))
+    assert "hashpartitioning(listing_id" in scrubbed
+    assert "Sort [listing_id" in scrubbed and "Sort [user_id" not in scrubbed
+    fields = ("listing_id",)
+    built = plan(msg.assemble(df.withColumn("listing_state", F.lit("NM")), fields, None))
+    assert built.count("Exchange hashpartitioning") == 1
+    assert built.index("partial_collect_list") < built.index("Exchange")
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_candidates_of_a_long_list_of_users_are_the_same(spark, monkeypatch, most):
+    monkeypatch.setattr(elig, "SHORT_LIST", most)
+    df = spark.createDataFrame(
+        [("u", "l1", 2, "NM"), ("u", "l1", 1, "TX"), ("u", "l2", None, "NM"), ("w", "l1", 1, "NM"),
+         ("unknown", "l1", 1, "NM")], "user_id string, listing_id string, seq_id int, state string")
+    users, short = elig.settled(spark.createDataFrame([("u",), ("unknown",), (None,)], "user_id string"))
+    assert short == (most == 10)
+    got = elig.scrub_pairs_of(df, users, short)
+    assert rows(got) == [("u", "l1", 1, "TX"), ("u", "l2", None, "NM")]
