@@ -137,3 +137,9 @@ def test_scratch_uses_the_shared_folder_of_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(f"{shared}/x-")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_messages_are_written_compressed(spark, tmp_path):
+    assert writers.write_messages(messages(spark, 7), str(tmp_path / "m")) == 7
+    assert list((tmp_path / "m").glob("part-*.gz")) and not list((tmp_path / "m").glob("part-*.txt"))
+    assert spark.read.text(str(tmp_path / "m")).count() == 7
