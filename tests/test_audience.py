@@ -244,3 +244,15 @@ def test_candidates_of_a_long_list_of_users_are_the_same(spark, monkeypatch, mos
     assert short == (most == 10)
     got = elig.scrub_pairs_of(df, users, short)
     assert rows(got) == [("u", "l1", 1, "TX"), ("u", "l2", None, "NM")]
+
+
+def test_candidates_of_a_short_list_are_not_shuffled_to_it(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = pairs(spark, ("u", "l1", "NM", "NM", "City", 1), ("w", "l1", "NM", "NM", "City", 2))
+        users = spark.createDataFrame([("u", "u@mail")], "customer_id string, email string")
+        made = plan(channels.email_candidates(df, users, "V1", "mail-v1"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert made.count("LeftSemi") == 2 and "SortMergeJoin [user_id" not in "".join(
+        line for line in made.splitlines() if "LeftSemi" in line)
