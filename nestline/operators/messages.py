@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from nestline.config import EMAIL_FIELDS, ENVELOPES, MEMBER_ID_MAX_LENGTH, PUSH_FIELDS
 
@@ -28,20 +28,30 @@ def assemble(candidates: DataFrame, fields: Sequence[str],
                      F.struct(*fields).alias("item"))
     sent = candidates.filter(F.col("variation").isNotNull())
     if per_message is None:
-        sent = sent.withColumns({"part": F.lit(0), "parts": F.lit(1)})
-    else:
-        mine = Window.partitionBy(*_ADDRESSEE)
-        place = F.row_number().over(mine.orderBy(*order)) - 1
-        sent = sent.withColumns({
-            "part": F.floor(place / per_message).cast("int"),
-            "parts": F.ceil(F.count(F.lit(1)).over(mine) / per_message).cast("int")})
-    # rows are dealt out as they come, side by side with others of their listing, before lists are
-    # made of them: the rows of one user share nothing and hardly compress
-    message = F.struct(*_ADDRESSEE, "part", "parts")
-    return (sent.select(message.alias("_message"), entry.alias("_entry")).repartition("_message")
-            .groupBy("_message").agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
-            .select("_message.*", F.transform("_entries", lambda e: e["item"])
-                    .alias("recommendations")))
+        # rows are dealt out as they come, side by side with others of their listing, before lists
+        # are made of them: the rows of one user share nothing and hardly compress
+        message = F.struct(*_ADDRESSEE, F.lit(0).alias("part"), F.lit(1).alias("parts"))
+        return (sent.select(message.alias("_message"), entry.alias("_entry"))
+                .repartition("_message").groupBy("_message")
+                .agg(F.sort_array(F.collect_list("_entry")).alias("_entries"))
+                .select("_message.*", _items()))
+    mine = Window.partitionBy(*_ADDRESSEE)
+    place = F.row_number().over(mine.orderBy(*order)) - 1
+    # rows lie with their user once they are numbered, so lists are made there and rows in the order
+    # of users are not dealt out once more; the frame is one message, however long the user's list
+    message = mine.orderBy("part").rangeBetween(Window.currentRow, Window.currentRow)
+    return (sent.withColumns({
+                "_place": place,
+                "parts": F.ceil(F.count(F.lit(1)).over(mine) / per_message).cast("int")})
+            .withColumn("part", F.floor(F.col("_place") / per_message).cast("int"))
+            .withColumn("_entries", F.collect_list(entry).over(message))
+            .filter(F.col("_place") % per_message == 0)
+            .withColumn("_entries", F.sort_array("_entries"))
+            .select(*_ADDRESSEE, "part", "parts", _items()))
+
+
+def _items() -> Column:
+    return F.transform("_entries", lambda e: e["item"]).alias("recommendations")
 
 
 def control_messages(bucketed: DataFrame, control: str = "C") -> DataFrame:

@@ -234,6 +234,15 @@ def test_scrubbed_and_assembled_rows_are_shuffled_side_by_side_with_their_listin
     assert built.index("partial_collect_list") < built.index("Exchange")
 
 
+def test_messages_in_parts_are_made_where_the_rows_of_their_user_are_numbered(spark):
+    df = listing_rows(spark, [(u, f"l{i:03d}", i // 2 if i % 5 else None, "V1") for u in "ab" for i in range(57)])
+    built = msg.assemble(df.repartition(3), ("listing_id", "seq_id"), 4)
+    assert plan(built).count("Exchange hashpartitioning") == 1
+    got = {(r["user_id"], r["part"], r["parts"]): [tuple(x) for x in r["recommendations"]] for r in built.collect()}
+    wanted = sorted(((f"l{i:03d}", i // 2 if i % 5 else None) for i in range(57)), key=lambda x: (x[1] is not None, x[1] or 0, x[0]))
+    assert got == {(u, p, 15): wanted[4 * p:4 * p + 4] for u in "ab" for p in range(15)}
+
+
 @pytest.mark.parametrize("most", [0, 10])
 def test_candidates_of_a_long_list_of_users_are_the_same(spark, monkeypatch, most):
     monkeypatch.setattr(elig, "SHORT_LIST", most)
