@@ -105,12 +105,16 @@ def dq_rank_order(ranked: DataFrame, score: str = "match_score") -> DataFrame:
     return order_breaks(ranked, ["user_id"], "seq_id", score, rising=False)
 
 
-def dq_sequence(ranked: DataFrame, upstream: DataFrame) -> DataFrame:
-    """Per user and state: ranked rows known upstream, and where their order differs from it."""
-    positions = upstream.select("user_id", "listing_id", "state", "row_id")
-    both = ranked.select("user_id", "listing_id", "state", "seq_id").join(
-        positions, ["user_id", "listing_id", "state"])
-    return order_breaks(both, ["user_id", "state"], "seq_id", "row_id", rising=True)
+def dq_sequence(ranked: DataFrame, upstream: DataFrame, position: str = "seq_id") -> DataFrame:
+    """Per user and state: ranked rows known upstream, and where their order differs from it.
+
+    Either side is read as its keys and one number, so a table that two such checks read is
+    shuffled once, and what ``explode_ranked`` returns is not shuffled again.
+    """
+    keys = ["user_id", "listing_id", "state"]
+    both = ranked.select(*keys, F.col(position).alias("_place")).join(
+        upstream.select(*keys, F.col("row_id").alias("_known")), keys)
+    return order_breaks(both, ["user_id", "state"], "_place", "_known", rising=True)
 
 
 def dq_first_slot(ranked: DataFrame, empty: Column | None = None) -> DataFrame:

@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from nestline.operators import metrics, quality as dq
-from tests.helpers import rows
+from nestline.operators import candidates as cand, metrics, quality as dq
+from tests.helpers import plan, rows
+from tests.test_candidates import RECS
 
 
 def test_ground_truth_cleaning(spark):
@@ -119,6 +120,23 @@ def test_rank_order_and_sequence(spark):
     assert rows(dq.dq_sequence(ranked, upstream)) == [("u", "NM", 3, 1)]
 
 
+def test_upstream_is_shuffled_once_for_both_order_checks(spark, tmp_path):
+    recs = spark.createDataFrame([("u", [("1", "c"), ("2", "a"), ("3", "b")], "NM"), ("w", None, "NM")], RECS)
+    cand.explode_ranked(recs).withColumn("row_id", F.col("row_id") * 7 % 5).write.parquet(str(tmp_path / "up"))
+    upstream = spark.read.parquet(str(tmp_path / "up"))
+    ranked = spark.createDataFrame([("u", "a", "NM", 1), ("u", "b", "NM", 2), ("u", "c", "NM", 3)],
+                                   "user_id string, listing_id string, state string, seq_id int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = dq.dq_sequence(ranked, upstream).unionAll(
+            dq.dq_sequence(upstream, cand.explode_ranked(recs), position="row_id"))
+        assert rows(both) == [("u", "NM", 3, 0), ("u", "NM", 3, 1)]
+        final = plan(both).split("Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert final.count("ReusedExchange") == 1
+
+
 def test_first_slot(spark):
     df = spark.createDataFrame([("u", 1, "x"), ("u", 2, ""), ("w", 2, "x")], "user_id string, seq_id int, t string")
     row = dq.dq_first_slot(df, dq.is_empty("t")).first()
