@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from nestline.config import EMAIL_FIELDS, PUSH_FIELDS
-from nestline.operators import candidates as cand, eligibility as elig, experiment as exp
+from nestline.operators import (candidates as cand, eligibility as elig, experiment as exp, listings as lst,
+                                profile as prof)
 from nestline.plans import daily
 from nestline.plans.store import Store
 from nestline.sample import queries as q, views as v
@@ -251,11 +254,28 @@ _EARLIER = {"users": "user_group % 3 <> 0", "candidates": "seq_id % 2 = 1", "lis
             "candidates_ranked": "seq_id > 1"}
 
 
-def _two_days(spark: SparkSession, store: Store, tables: dict[str, DataFrame]) -> None:
-    """Writes the tables for the store's day, and what was there the day before."""
+def _two_days(spark: SparkSession, store: Store, shuffled: dict[str, DataFrame],
+              rows: dict[str, DataFrame]) -> None:
+    """Writes the tables for the store's day, and what was there the day before.
+
+    Tables made by shuffles are read back for the day before; those made row by row are made again,
+    which costs less than to read them. No table waits for the slowest task of another one.
+    """
     before = replace(store, day=elig.day_before(store.day, 1))
-    for name, df in tables.items():
-        before.save(name, store.save(name, df).where(_EARLIER[name]))
+
+    def earlier(name: str, df: DataFrame) -> None:
+        before.save(name, df.where(_EARLIER[name]))
+
+    def both(name: str, df: DataFrame) -> None:
+        earlier(name, store.save(name, df))
+
+    # the longest first
+    steps = [(step, *table) for step in (store.save, earlier) for table in rows.items()]
+    steps += [(both, *table) for table in shuffled.items()]
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step), *table) for step, *table in steps]
+    for step in started:
+        step.result()
 
 
 v.SQL["v_moved"] = f"""
@@ -272,12 +292,15 @@ v.SQL["v_moved"] = f"""
 def validation_new_listings(spark, sf):
     """All checks of a day of the campaign that a model ranks, with those against the day before."""
     store = Store(scratch_path(spark, "validation"), v.RUN_DATE)
+    # as in the daily job, the history is read once for both windows
+    current = store.save("current_listings", q._listings(spark, sf, 180))
+    shuffled = {"listings": lst.listings_within(current, 60),
+                "users": q._users(spark, sf, medians=prof.group_median(current))}
     ranked = v.ranked(spark, sf)
-    tables = {"listings": q._listings(spark, sf, 60), "users": q._users(spark, sf),
-              "candidates": ranked, "candidates_ranked": ranked}
-    _two_days(spark, store, tables)
+    rows = {"candidates": ranked, "candidates_ranked": ranked}
+    _two_days(spark, store, shuffled, rows)
     listings, users, candidates, ranked = (
-        store.days(spark, name, [store.day]).drop("target_date") for name in tables)
+        store.days(spark, name, [store.day]).drop("target_date") for name in (*shuffled, *rows))
     return _report(daily.validate(store, listings, users, candidates, ranked, 5))
 
 

@@ -3,6 +3,7 @@
 import json
 from dataclasses import replace
 from functools import partial
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from nestline.operators import eligibility as elig, experiment as exp, listings as lst
 from nestline.plans import daily
 from nestline.plans.store import Store
-from nestline.sample import queries as q, views as v
+from nestline.sample import campaigns, queries as q, views as v
 from tests.helpers import plan, rows
 
 ALLOCATION = (("V1", 4000), ("V2", 4000), ("C", 2000))
@@ -131,6 +132,44 @@ def test_loaded_days_are_found(spark, tmp_path):
     assert rows(both.select("user_id")) == [("20200530",), ("20200601",)]
 
 
+def test_two_days_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    store = Store(str(tmp_path), "20200601")
+    ranked = spark.createDataFrame([("u", 1), ("u", 2), ("w", None)], "user_id string, seq_id int")
+    users = spark.createDataFrame([("u", 3), ("w", 4)], "user_id string, user_group int")
+    begun, save = Barrier(3), Store.save
+
+    def together(self, name, df, columns=()):
+        if self.day == store.day:
+            begun.wait(60)  # breaks if one table waits for another
+        return save(self, name, df, columns)
+
+    monkeypatch.setattr(Store, "save", together)
+    campaigns._two_days(spark, store, {"users": users},
+                        {"candidates": ranked, "candidates_ranked": ranked})
+    for name, df, earlier in (("users", users, [("w", 4)]), ("candidates", ranked, [("u", 1)]),
+                              ("candidates_ranked", ranked, [("u", 2)])):
+        assert rows(store.days(spark, name, ["20200601"]).drop("target_date")) == rows(df)
+        assert rows(store.days(spark, name, ["20200531"]).drop("target_date")) == earlier
+
+
+def test_a_table_that_cannot_be_written_raises(spark, tmp_path):
+    store = Store(str(tmp_path), "20200601")
+    broken = spark.createDataFrame([("u", 1)], "user_id string, seq_id int").withColumn(
+        "user_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"):
+        campaigns._two_days(spark, store, {}, {"candidates": broken})
+
+
+def test_validation_reads_the_history_once(spark, sf, monkeypatch):
+    read, history = [], v.listing_history
+    monkeypatch.setattr(v, "listing_history", lambda *args: read.append(args) or history(*args))
+    monkeypatch.setattr(campaigns.daily, "validate", lambda store, listings, users, *rest: listings)
+    monkeypatch.setattr(campaigns, "_report", lambda report: report)
+    listings = q.QUERIES["validation_new_listings"](spark, sf)
+    assert len(read) == 1
+    assert rows(listings) == rows(q._listings(spark, sf, 60).select(*listings.columns))
+
+
 # ------------------------------------------------------------------ physical plans
 
 @pytest.mark.parametrize("name", sorted(set(q.QUERIES) - {
