@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from nestline.operators import candidates as cand, scoring, skew
 from nestline.sample.queries import QUERIES
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 EVENTS = ("member_id string, visitor_id string, listing_id string, page_type string, "
           "property_status string, saved_items string")
@@ -118,6 +118,25 @@ def test_feature_vector_columns(spark):
     assert scoring.build_features(pairs, users, listings, [], hot).count() == 1
 
 
+def test_pairs_are_dealt_out_before_their_numbers_are_worked_out(spark):
+    usual = ", ".join(f"id + 2.0D AS cal_{a}_{w}" for a in ("price", "lot_sqft", "bath", "bed", "sqft")
+                      for w in ("t90", "t90_20"))
+    users = spark.sql(f"""
+        SELECT 'u' || id AS user_id, {usual}, 10D AS cal_lat_t90, 20D AS cal_lon_t90, 'c' || id AS consumer_ip_city
+        FROM range(2)""")
+    listings = spark.sql("""SELECT 'l' || id AS listing_id, 4D AS price, 4D AS lot_sqft, 4D AS bath, 4D AS bed,
+                            4D AS sqft, 10D AS lat, 20D AS lon, 't' AS ldp_city FROM range(2)""")
+    pairs = spark.sql("""SELECT 'u' || u.id AS user_id, 'l' || l.id AS listing_id, u.id AS user_group
+                         FROM range(2) u, range(2) l""")
+    cities = spark.sql("SELECT 'c0' AS consumer_ip_city, 't' AS ldp_city, '3' AS m")
+    lookup = scoring.Lookup(cities, ("consumer_ip_city", "ldp_city"), "m", "con_pct_web_uls_median_city")
+    plain = scoring.build_features(pairs, users, listings, [lookup])
+    dealt = scoring.build_features(pairs, users, listings, [lookup], deal_by=["user_group"])
+    after, before = plan(dealt).split("REBALANCE_PARTITIONS_BY_COL")
+    assert "_ratio_cal_" in after and "_ratio_cal_" not in before
+    assert dealt.columns == plain.columns and repr(rows(dealt)) == repr(rows(plain)) and dealt.count() == 4
+
+
 def test_rank_candidates_numbers_from_the_best(spark):
     df = spark.createDataFrame([("u", "a", 1.0), ("u", "b", 3.0), ("u", "c", 3.0), ("w", "a", 0.0)],
                                "user_id string, listing_id string, x double")

@@ -62,6 +62,15 @@ def test_equal_and_missing_scores_of_one_key_are_spread(spark):
     assert ranked.where("seq_id != id + 1").isEmpty() and ranked.count() == 8000
 
 
+def test_dealt_rows_are_ranked_where_they_lie(spark, monkeypatch):
+    df = spark.createDataFrame(random_scores(3), "k string, id int, s double")
+    dealt = written(keyed.deal_by_rank(df, ["k"], "s", ["id"]), "dealt")
+    ranked = keyed.rank_dealt(dealt, ["k"], "s", ["id"])
+    assert "Exchange hashpartitioning" not in plan(ranked) and "Window" not in plan(ranked)
+    monkeypatch.setattr(keyed, "SHORT_LIST", 3)  # the list of keys is too long to be sent out
+    assert rows(keyed.rank_dealt(dealt, ["k"], "s", ["id"])) == rows(ranked)
+
+
 @pytest.mark.parametrize("rising", [True, False])
 def test_order_breaks_in_chunks_equals_plain_scan(spark, rising):
     rng = random.Random(5)

@@ -8,7 +8,7 @@ from threading import Barrier
 import pytest
 from pyspark.sql import functions as F
 
-from nestline.operators import eligibility as elig, experiment as exp, listings as lst
+from nestline.operators import candidates as cand, eligibility as elig, experiment as exp, listings as lst
 from nestline.plans import daily
 from nestline.plans.store import Store
 from nestline.sample import campaigns, queries as q, views as v
@@ -64,6 +64,27 @@ def test_new_listings_day(day):
     assert bad.count() == 0
 
 
+def test_rows_of_a_listing_are_written_side_by_side(day):
+    spark, _, nl, _, ranked, _ = day
+    for name in ("features", "candidates_ranked"):
+        df = nl.all_days(spark, name)
+        for file in df.inputFiles():
+            ids = [r["listing_id"] for r in spark.read.parquet(file).select("listing_id").collect()]
+            assert ids == sorted(ids), name
+
+
+def test_listings_too_many_to_send_out(day, tmp_path, monkeypatch):
+    spark, sf, _, _, ranked, _ = day
+    monkeypatch.setattr(cand, "SHORT_LIST", 3)
+    features = v.user_features(spark, sf).drop("snapshot_id")
+    again = daily.new_listings(
+        Store(str(tmp_path), v.RUN_DATE), replace(v.NL, listing_age_days=180), v.listing_history(spark, sf),
+        q._day(spark, sf)["events"], v.profiles(spark, sf), features, v.listing_features(spark, sf),
+        q._lookups(spark, sf), lambda f: F.coalesce(F.nanvl("price_ratio_cal_price_t90", F.lit(0.0)), F.lit(0.0)) * 100,
+        daily.Skew(users_per_zip=5, listings_per_zip=3, rows_per_listing=5), url="property_url")
+    assert rows(again.select(*ranked.columns)) == rows(ranked)
+
+
 def test_recommended_homes_day(day):
     _, _, _, _, _, ranked = day
     assert ranked.count() > 0
