@@ -178,3 +178,33 @@ def test_a_key_is_hot_by_its_pairs_alone(spark):
     joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"])
     plain = skew.band_join(q, p, "zip", "price", "low", "high")
     assert joined.count() == plain.count() == 200 * 61 and joined.exceptAll(plain.select(joined.columns)).isEmpty()
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_a_point_meets_queries_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(skew, "BLOCK", block)
+    q = spark.range(600).selectExpr("if(id % 9 = 0, NULL, id % 50) AS q", "if(id % 7 = 0, NULL, if(id % 3 = 0, 'z', 'hot')) AS zip",
+                                    "if(id % 11 = 0, NULL, id % 40 - 1.0D) AS low", "id % 40 + id % 13 - 3.0D AS high",
+                                    "array(id, NULL) AS rest")
+    p = spark.range(300).selectExpr("if(id % 5 = 0, NULL, id % 30) AS p", "if(id % 4 = 0, 'z', if(id % 17 = 0, NULL, 'hot')) AS zip",
+                                    "if(id % 19 = 0, NULL, cast(id % 60 AS double)) AS price")
+    hot = skew.hot_bands(q, p, "zip", "price", max_queries=200, max_points=100, slices=8)
+    assert rows(hot, "zip") == [("hot",)]
+    joined = skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"], slices=8)
+    plain = skew.band_join(q, p, "zip", "price", "low", "high")
+    assert joined.columns == ["q", "zip", "low", "high", "rest", "p", "price"]
+    assert joined.dtypes == plain.select(joined.columns).dtypes
+    assert rows(joined) == rows(plain, *joined.columns) and joined.count() > 1000
+    # a row of the join holds a point and a block; pairs are made from it row by row
+    assert "Generate inline" in plan(joined)
+
+
+def test_a_part_of_a_hot_key_has_a_bounded_number_of_queries(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MAX_PARTS", 2)
+    q = spark.range(1000).selectExpr("id AS q", "'hot' AS zip", "0.0D AS low", "9.0D AS high")
+    p = spark.range(20).selectExpr("id AS p", "'hot' AS zip", "cast(id AS double) AS price")
+    for most, parts in ((600, 2), (90, 12)):
+        monkeypatch.setattr(skew, "PART_QUERIES", most)
+        hot = skew.hot_bands(q, p, "zip", "price", max_queries=50, max_points=50)
+        assert hot.first()["_parts"] == parts
+        assert skew.band_join(q, p, "zip", "price", "low", "high", hot, ["q"]).count() == 10_000
